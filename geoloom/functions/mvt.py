@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Field keys and command ids of the public vector-tile 2.1 format.
 GEOM_TYPES = {"POINT": 1, "LINESTRING": 2, "POLYGON": 3}
@@ -96,7 +97,7 @@ def encode_layer(name: str, features, extent: int = 4096) -> bytes:
     return _field(3, layer)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def encode_layers(layer: pd.Series, features: pd.Series) -> pd.Series:
     def props(p):
         return dict(p) if p is not None else {}

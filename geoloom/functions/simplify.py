@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.functions import geometry as geo
 
@@ -59,7 +60,7 @@ def ring_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return weights
 
 
-@F.pandas_udf("array<array<double>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
 def _part_weights(xs: pd.Series, ys: pd.Series) -> pd.Series:
     def one(px, py):
         if px is None or py is None:
@@ -94,7 +95,7 @@ def with_weights(df: DataFrame, geom: str = "geom", out: str = "weights") -> Dat
     return df.withColumn(out, weights_column(geom))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def simplify_wkt(wkt: pd.Series, tolerance: pd.Series) -> pd.Series:
     """Simplify WKT text; text that does not parse comes back unchanged."""
     return pd.Series([_simplify_text(w, t) for w, t in zip(wkt, tolerance)], dtype=object)

@@ -8,8 +8,9 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from geoloom import rules
+from geoloom import rules, schemas
 from geoloom.functions import classify
 from geoloom.functions import geometry as geo
 from geoloom.functions import tilemath
@@ -173,7 +174,7 @@ def _stitch(lines: list) -> list:
     return rings
 
 
-@F.pandas_udf("array<array<struct<x: double, y: double>>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(schemas.POINT)))
 def stitch_rings(lines: pd.Series) -> pd.Series:
     def one(members):
         chains = [[(p["x"], p["y"]) for p in m["points"]] for m in members]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import astuple, dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from geoloom import schemas
+
 PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 GROUP = ["window_start", "window_end", "name", "label_key"]
 
@@ -54,10 +58,17 @@ def value_bin(value: Column) -> Column:
     About 4,096 bins per factor of two: a group of n values has at most min(n, some ten
     thousand) bins in practice, and a very large group is spread over that many.
     """
-    scaled = F.floor(F.log2(F.abs(value)) * _BINS_PER_OCTAVE) + _BIN_ORIGIN
+    octave = F.greatest(F.lit(-1100.0), F.least(F.lit(1100.0), F.log2(F.abs(value))))
+    scaled = F.floor(octave * _BINS_PER_OCTAVE) + _BIN_ORIGIN
     return F.when(value > 0, scaled).when(value < 0, -scaled).otherwise(F.lit(0).cast("bigint"))
 
 
+def _bin_anchor(bin_: Column) -> Column:
+    """A value inside or next to the bin, around which sums of squares stay precise."""
+    size = F.pow(F.lit(2.0), (F.abs(bin_) - _BIN_ORIGIN) / F.lit(float(_BINS_PER_OCTAVE)))
+    return F.when(bin_ > 0, size).when(bin_ < 0, -size).otherwise(F.lit(0.0))
+
+
 def exact_percentiles(
     df: DataFrame, keys: list[str], value: str, percentiles: dict[str, float], weight: str | None = None
 ) -> DataFrame:
@@ -76,15 +87,20 @@ def exact_percentiles(
         .groupBy(*keys, "_bin", v.alias("_v"))
         .agg(F.sum(n).cast("bigint").alias("_n"))
     )
-    total, mean = F.sum("_n"), F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")
-    bins = counts.groupBy(*keys, "_bin").agg(
-        total.alias("_bn"),
-        F.sum(F.col("_v") * F.col("_n")).alias("_bsum"),
-        mean.alias("_bmean"),
-        F.min("_v").alias("_bmin"),
-        F.max("_v").alias("_bmax"),
-        # Squared deviation inside the bin, around the bin's own lower bound of spread.
-        (F.sum(F.col("_v") * F.col("_v") * F.col("_n")) - total * mean * mean).alias("_bss"),
+    off = F.col("_v") - _bin_anchor(F.col("_bin"))
+    total, off1 = F.sum("_n"), F.sum(off * F.col("_n"))
+    bins = (
+        counts.groupBy(*keys, "_bin")
+        .agg(
+            total.alias("_bn"),
+            F.sum(F.col("_v") * F.col("_n")).alias("_bsum"),
+            off1.alias("_boff"),
+            F.sum(off * off * F.col("_n")).alias("_boff2"),
+            F.min("_v").alias("_bmin"),
+            F.max("_v").alias("_bmax"),
+        )
+        .withColumn("_bmean", _bin_anchor(F.col("_bin")) + F.col("_boff") / F.col("_bn"))
+        .withColumn("_bss", F.col("_boff2") - F.col("_boff") * F.col("_boff") / F.col("_bn"))
     )
     whole = W.partitionBy(*keys)
     running = whole.orderBy("_bin").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -172,7 +188,21 @@ def violated(value: Column) -> Column:
     )
 
 
-def alerts(aggregates: DataFrame, rules: DataFrame, max_datapoints: int = 64, per_labels: bool = False) -> DataFrame:
+@dataclass(frozen=True)
+class AlertRule:
+    metric_name: str
+    warning_threshold: float
+    critical_threshold: float
+    comparison_operator: str = "greater_than"
+    evaluation_period: int = 300
+    datapoints_to_alarm: int = 2
+
+
+def rules_frame(spark: SparkSession, rules: list[AlertRule]) -> DataFrame:
+    return spark.createDataFrame([astuple(r) for r in rules], schemas.ALERT_RULE)
+
+
+def alerts(aggregates: DataFrame, rules: list[AlertRule], per_labels: bool = False) -> DataFrame:
     """Critical alerts, one per metric and evaluation time.
 
     At every window end a metric's last k aggregates (label sets mixed unless ``per_labels``)
@@ -182,10 +212,10 @@ def alerts(aggregates: DataFrame, rules: DataFrame, max_datapoints: int = 64, pe
     """
     day = 86400
     series = ["name", "label_key"] if per_labels else ["name"]
-    rule = rules.withColumnRenamed("metric_name", "name")
+    rule = rules_frame(aggregates.sparkSession, rules).withColumnRenamed("metric_name", "name")
     judged = (
         aggregates.select("name", "label_key", "window_end", "avg")
-        .join(F.broadcast(rule.limit(100_000)) if rules.isLocal() else rule, "name")
+        .join(rule, "name")
         .withColumn("_t", F.unix_timestamp(F.col("window_end").cast("timestamp")))
         .withColumn("_bad", violated(F.col("avg")))
         .withColumn("_own", F.floor(F.col("_t") / day))
@@ -195,14 +225,15 @@ def alerts(aggregates: DataFrame, rules: DataFrame, max_datapoints: int = 64, pe
     rule_key = ["comparison_operator", "critical_threshold"]
     parts = [*series, *rule_key, "_slice"]
     order = W.partitionBy(*parts).orderBy("_t", "label_key")
-    seen = order.rowsBetween(-(max_datapoints - 1), W.currentRow)
+    longest = max(r.datapoints_to_alarm for r in rules)
+    seen = order.rowsBetween(-(longest - 1), W.currentRow)
     history = F.collect_list(F.struct("_t", "_bad")).over(seen)
     k = F.col("datapoints_to_alarm")
     tail = F.expr("slice(_h, -datapoints_to_alarm, datapoints_to_alarm)")
     return (
         sliced.withColumn("_h", history)
         .withColumn("_next", F.lead("_t").over(order))
-        .filter((F.col("_slice") == F.col("_own")))
+        .filter(F.col("_slice") == F.col("_own"))
         .filter(F.col("_next").isNull() | (F.col("_next") > F.col("_t")))
         .filter(F.size("_h") >= k)
         .withColumn("_tail", tail)

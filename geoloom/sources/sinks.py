@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -90,3 +91,17 @@ def append_rows(df: DataFrame, schema, path: str) -> None:
         for f in schema.fields
     ]
     df.select(*columns).write.mode("append").parquet(path)
+
+
+def write_xml(elements: DataFrame, path: str, root: str = "osm", compression: str = "none") -> None:
+    """Element texts (one string column) as XML documents, one per task."""
+
+    def document(batches):
+        yield pd.DataFrame({"value": [f"<{root}>"]})
+        for batch in batches:
+            yield batch
+        yield pd.DataFrame({"value": [f"</{root}>"]})
+
+    elements.toDF("value").mapInPandas(document, "value string").write.option(
+        "compression", compression
+    ).text(path)

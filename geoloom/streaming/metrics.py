@@ -45,7 +45,7 @@ def write_windows(
     checkpoint: str,
     duration: str = "1 minute",
     lateness: str = "1 minute",
-    rules: DataFrame | None = None,
+    rules: list[metrics.AlertRule] | None = None,
     alerts_path: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
@@ -77,15 +77,15 @@ def write_windows(
 
 
 def _alerts_of(
-    spark: SparkSession, fresh: DataFrame, rules: DataFrame, path: str, batch_id: int
+    spark: SparkSession, fresh: DataFrame, rules: list[metrics.AlertRule], path: str, batch_id: int
 ) -> DataFrame:
     """Alerts at the new window ends, looking back into earlier batches for one period only."""
-    periods = rules.agg(F.max("evaluation_period").alias("p")).first()["p"] or 0
+    periods = max(r.evaluation_period for r in rules)
     span = fresh.agg(F.min("window_end").alias("lo")).first()["lo"]
     history = fresh
     if batch_id > 0 and span is not None:
         known = spark.read.option("basePath", path).schema(fresh.schema.add("batch_id", "long")).parquet(path)
-        start = F.lit(span) - F.make_interval(secs=F.lit(int(periods)))
+        start = F.lit(span) - F.make_interval(secs=F.lit(periods))
         older = known.filter((F.col("batch_id") < batch_id) & (F.col("window_end") >= start))
         history = fresh.unionByName(older.drop("batch_id"))
     ends = fresh.select(F.col("name").alias("metric_name"), F.col("window_end").alias("timestamp"))
