@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from geoloom.plans import element_queries  # noqa: F401
+from geoloom.plans import element_queries, layer_queries, spatial_queries  # noqa: F401
 from geoloom.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
