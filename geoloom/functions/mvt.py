@@ -5,6 +5,9 @@ Spark groups, orders and quantises the features; this helper only writes the byt
 
 from __future__ import annotations
 
+import json
+import struct
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +77,16 @@ def _commands(kind: str, parts) -> list[int]:
     return out
 
 
+def _value(v) -> bytes:
+    if isinstance(v, bool):
+        return _varint(7 << 3) + _varint(int(v))
+    if isinstance(v, int):
+        return _varint(5 << 3) + _varint(v) if v >= 0 else _varint(6 << 3) + _varint(_zigzag(v))
+    if isinstance(v, float):
+        return _varint(3 << 3 | 1) + struct.pack("<d", v)
+    return _field(1, str(v).encode())
+
+
 def encode_layer(name: str, features, extent: int = 4096) -> bytes:
     """One layer message, framed as a complete tile message."""
     keys, values, body = {}, {}, []
@@ -82,30 +95,21 @@ def encode_layer(name: str, features, extent: int = 4096) -> bytes:
         if not commands:
             continue
         tags = []
-        for key, value in sorted(f["properties"].items()):
+        for key, value in json.loads(f["properties"]).items():
             if value is not None:
                 tags.append(keys.setdefault(key, len(keys)))
-                tags.append(values.setdefault(value, len(values)))
+                tags.append(values.setdefault(_value(value), len(values)))
         message = _varint(1 << 3) + _varint(f["feature_id"]) if f["feature_id"] >= 0 else b""
         message += _packed(2, tags) if tags else b""
         message += _varint(3 << 3) + _varint(GEOM_TYPES[f["kind"]]) + _packed(4, commands)
         body.append(_field(2, message))
     layer = _varint(15 << 3) + _varint(2) + _field(1, name.encode()) + b"".join(body)
     layer += b"".join(_field(3, k.encode()) for k in keys)
-    layer += b"".join(_field(4, _field(1, v.encode())) for v in values)
+    layer += b"".join(_field(4, v) for v in values)
     layer += _varint(5 << 3) + _varint(extent)
     return _field(3, layer)
 
 
 @F.pandas_udf(T.BinaryType())
 def encode_layers(layer: pd.Series, features: pd.Series) -> pd.Series:
-    def props(p):
-        return dict(p) if p is not None else {}
-
-    return pd.Series(
-        [
-            encode_layer(name, [{**f, "properties": props(f["properties"])} for f in fs])
-            for name, fs in zip(layer, features)
-        ],
-        dtype=object,
-    )
+    return pd.Series([encode_layer(name, fs) for name, fs in zip(layer, features)], dtype=object)
