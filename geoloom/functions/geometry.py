@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.rules import EARTH_RADIUS_M
@@ -24,6 +24,17 @@ def let(value: str, body) -> str:
     return f"get(transform(array({value}), {v} -> {body(v)}), 0)"
 
 
+def once(df: DataFrame, **columns: str) -> DataFrame:
+    """Add costly columns so that they are evaluated once per row.
+
+    Catalyst copies an ordinary projected expression into every filter above it (also into
+    the null checks it infers for joins).  The output of a generator is not copied.
+    """
+    made = F.struct(*[F.expr(text).alias(name) for name, text in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(made)))
+
+
 def _lambda(n: int = 1) -> list[str]:
     return [f"v{next(_names)}" for _ in range(n)]
 
@@ -256,8 +267,11 @@ def _segments_cross(s: str, t: str) -> str:
 
 def _on_edge(p: str, es: str) -> str:
     e = _lambda()[0]
-    dot = f"named_struct('a', {p}, 'b', {p})"
-    return f"exists({es}, {e} -> {_segments_touch(e, dot)})"
+    return (
+        f"exists({es}, {e} -> {p}.x >= least({e}.a.x, {e}.b.x) AND {p}.x <= greatest({e}.a.x, {e}.b.x) "
+        f"AND {p}.y >= least({e}.a.y, {e}.b.y) AND {p}.y <= greatest({e}.a.y, {e}.b.y) "
+        f"AND {_turn(f'{e}.a', f'{e}.b', p)} = 0)"
+    )
 
 
 def _odd_crossings(p: str, es: str) -> str:
@@ -275,24 +289,34 @@ def _flag(body: str) -> str:
     return f"coalesce({body}, false)"
 
 
-def intersects(a: str, b: str) -> str:
-    """Closed geometries share a point; FALSE when one is NULL."""
+def _gated(a: str, b: str, ba: str | None, bb: str | None, test, exact: str) -> str:
+    """The exact test behind a test of the boxes, which are computed unless they are given."""
+    if ba and bb:
+        return _flag(f"CASE WHEN {test(ba, bb)} THEN {exact} ELSE false END")
+    gate = let(bbox(a), lambda x: let(bbox(b), lambda y: test(x, y)))
+    return _flag(f"CASE WHEN {gate} THEN {exact} ELSE false END")
+
+
+def intersects(a: str, b: str, ba: str | None = None, bb: str | None = None) -> str:
+    """Closed geometries share a point; FALSE when one is NULL.
+
+    ``ba`` and ``bb`` name boxes already at hand (they may be larger than the geometry).
+    """
     s, t = _lambda(2)
 
     def body(ea: str, eb: str) -> str:
         inside_b = f"({b}.kind = 'POLYGON' AND {_odd_crossings(f'{a}.parts[0][0]', eb)})"
         inside_a = f"({a}.kind = 'POLYGON' AND {_odd_crossings(f'{b}.parts[0][0]', ea)})"
         return (
-            f"(exists({ea}, {s} -> exists({eb}, {t} -> {_segments_touch(s, t)})) "
-            f"OR {inside_b} OR {inside_a})"
+            f"({inside_b} OR {inside_a} "
+            f"OR exists({ea}, {s} -> exists({eb}, {t} -> {_segments_touch(s, t)})))"
         )
 
     exact = let(edges(a), lambda ea: let(edges(b), lambda eb: body(ea, eb)))
-    gate = let(bbox(a), lambda ba: let(bbox(b), lambda bb: bbox_overlap(ba, bb)))
-    return _flag(f"CASE WHEN {gate} THEN {exact} ELSE false END")
+    return _gated(a, b, ba, bb, bbox_overlap, exact)
 
 
-def within(a: str, b: str) -> str:
+def within(a: str, b: str, ba: str | None = None, bb: str | None = None) -> str:
     """``a`` lies in ``b`` and reaches its interior; contact with the boundary alone is not enough."""
     s, t, p, r = _lambda(4)
     mid = lambda e: (
@@ -300,18 +324,23 @@ def within(a: str, b: str) -> str:
     )
 
     def in_polygon(ea: str, eb: str) -> str:
+        # Location of every vertex and edge middle: 0 outside, 1 on the boundary, 2 inside.
         probes = f"concat(flatten({a}.parts), transform({ea}, {s} -> {mid(s)}))"
-        covered = f"({_odd_crossings(p, eb)} OR {_on_edge(p, eb)})"
-        inner = f"({_odd_crossings(p, eb)} AND NOT {_on_edge(p, eb)})"
+        where = (
+            f"transform({probes}, {p} -> CASE WHEN {_on_edge(p, eb)} THEN 1 "
+            f"WHEN {_odd_crossings(p, eb)} THEN 2 ELSE 0 END)"
+        )
         crossing = f"exists({ea}, {s} -> exists({eb}, {t} -> {_segments_cross(s, t)}))"
         hole_in_a = (
             f"({a}.kind = 'POLYGON' AND exists(slice({b}.parts, 2, size({b}.parts)), {r} -> "
             f"{_odd_crossings(f'{r}[0]', ea)} AND NOT {_on_edge(f'{r}[0]', ea)}))"
         )
-        reaches = f"({a}.kind = 'POLYGON' OR exists({probes}, {p} -> {inner}))"
-        return (
-            f"(forall({probes}, {p} -> {covered}) AND {reaches} "
-            f"AND NOT {crossing} AND NOT {hole_in_a})"
+        return let(
+            where,
+            lambda w: (
+                f"(array_min({w}) > 0 AND ({a}.kind = 'POLYGON' OR array_max({w}) = 2) "
+                f"AND NOT {crossing} AND NOT {hole_in_a})"
+            ),
         )
 
     def on_line(ea: str, eb: str) -> str:
@@ -336,21 +365,14 @@ def within(a: str, b: str) -> str:
             ),
         ),
     )
-    gate = let(
-        bbox(a),
-        lambda ba: let(
-            bbox(b),
-            lambda bb: (
-                f"({ba}.x0 >= {bb}.x0 AND {ba}.x1 <= {bb}.x1 "
-                f"AND {ba}.y0 >= {bb}.y0 AND {ba}.y1 <= {bb}.y1)"
-            ),
-        ),
+    inside = lambda x, y: (
+        f"({x}.x0 >= {y}.x0 AND {x}.x1 <= {y}.x1 AND {x}.y0 >= {y}.y0 AND {x}.y1 <= {y}.y1)"
     )
-    return _flag(f"CASE WHEN {gate} THEN {exact} ELSE false END")
+    return _gated(a, b, ba, bb, inside, exact)
 
 
-def contains(a: str, b: str) -> str:
-    return within(b, a)
+def contains(a: str, b: str, ba: str | None = None, bb: str | None = None) -> str:
+    return within(b, a, bb, ba)
 
 
 def _point_segment(p: str, e: str) -> str:
@@ -368,18 +390,26 @@ def _point_segment(p: str, e: str) -> str:
     )
 
 
-def distance(a: str, b: str) -> str:
+def distance(a: str, b: str, ba: str | None = None, bb: str | None = None) -> str:
     """Planar minimum distance; NULL when a geometry is NULL."""
-    s, t = _lambda(2)
-    pair = (
-        f"least({_point_segment(f'{s}.a', t)}, {_point_segment(f'{s}.b', t)}, "
-        f"{_point_segment(f'{t}.a', s)}, {_point_segment(f'{t}.b', s)})"
-    )
-    nearest = let(
+    p, e = _lambda(2)
+
+    def nearest(points: str, es: str) -> str:
+        return (
+            f"array_min(transform({points}, {p} -> "
+            f"array_min(transform({es}, {e} -> {_point_segment(p, e)}))))"
+        )
+
+    vertices = lambda g: f"flatten({g}.parts)"
+    apart = let(
         edges(a),
         lambda ea: let(
             edges(b),
-            lambda eb: f"array_min(transform({ea}, {s} -> array_min(transform({eb}, {t} -> {pair}))))",
+            lambda eb: (
+                f"CASE WHEN {a}.kind = 'POINT' THEN {nearest(vertices(a), eb)} "
+                f"WHEN {b}.kind = 'POINT' THEN {nearest(vertices(b), ea)} "
+                f"ELSE least({nearest(vertices(a), eb)}, {nearest(vertices(b), ea)}) END"
+            ),
         ),
     )
     pa, pb = f"{a}.parts[0][0]", f"{b}.parts[0][0]"
@@ -387,7 +417,7 @@ def distance(a: str, b: str) -> str:
         f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN NULL "
         f"WHEN {a}.kind = 'POINT' AND {b}.kind = 'POINT' "
         f"THEN hypot({pa}.x - {pb}.x, {pa}.y - {pb}.y) "
-        f"WHEN {intersects(a, b)} THEN 0D ELSE {nearest} END"
+        f"WHEN {intersects(a, b, ba, bb)} THEN 0D ELSE {apart} END"
     )
 
 

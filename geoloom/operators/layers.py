@@ -294,7 +294,7 @@ def roads(ways: DataFrame, measure: str = "sphere") -> DataFrame:
 
 def buildings(ways: DataFrame, measure: str = "sphere") -> DataFrame:
     """Building layer from ways that carry their WKT geometry."""
-    return (
+    chosen = (
         ways.filter(tag("building").isNotNull() & (tag("building") != "no"))
         .select(
             F.col("id").alias("osm_id"),
@@ -309,7 +309,9 @@ def buildings(ways: DataFrame, measure: str = "sphere") -> DataFrame:
             F.col("geometry").alias("geometry_wkt"),
             "timestamp",
         )
-        .withColumn("area_sqm", F.expr(_measure("area", measure)))
+    )
+    return (
+        geo.once(chosen, area_sqm=_measure("area", measure))
         .filter(classify.large_enough(F.col("area_sqm")))
         .withColumn("building_class", classify.building_class(F.col("building_type")))
         .withColumn("height_meters", classify.height_meters(F.col("height")))

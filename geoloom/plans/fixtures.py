@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoloom import session
 from geoloom.functions import geometry as geo
 
 
@@ -204,7 +205,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns, copies, condition = FIXTURES[name]
+    used = " ".join([*columns.values(), condition or ""])
     df = table(spark, sf_dir, source)
+    df = session.spread(df.select(*[c for c in df.columns if c in used]))
     if copies > 1:
         df = df.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     if condition:

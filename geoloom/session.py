@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that query results depend on; they can be changed on a running session.
 RUNTIME_CONF = {
@@ -53,3 +53,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/geoloom/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that has fewer splits than there are cores.
+
+    A handful of small files would otherwise run expression-heavy work in a handful of tasks.
+    Scans with splits enough pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
