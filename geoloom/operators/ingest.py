@@ -39,8 +39,8 @@ def ingest(
                 raise ValueError("Data validation failed")
             parsed = elements.Elements(*kept, data.metadata)
             for name, layer in layers.ingest_layers(parsed).items():
-                if not layer.isEmpty():
-                    counts[name] = sinks.write_layer(layer, f"{destination}/{name}")
+                counts[name] = sinks.write_layer(layer, f"{destination}/{name}")
+            counts = {name: n for name, n in counts.items() if n}
         finally:
             for df in kept:
                 df.unpersist()

@@ -326,26 +326,22 @@ def buildings(ways: DataFrame, measure: str = "sphere") -> DataFrame:
 def spatial_partition(
     df: DataFrame, geometry_column: str = "geometry_wkt", zoom: int = 10, partitions: int | None = None
 ) -> DataFrame:
-    """Range-partition a layer along the Morton curve of the tile its first vertex lies in.
+    """Range-partition rows along the Morton curve of the tile their first vertex lies in.
 
     Row groups then cover small areas, and range sampling keeps partitions even where the
     data is dense.  A tie-break on the geometry text splits cells that are hot by themselves.
+    Only the first coordinate is read, because sampling evaluates the key twice; derive
+    geometry columns after this step.
     """
-    first = geo.let(
-        geo.parse_wkt(geometry_column),
-        lambda g: geo.let(
-            f"{g}.parts[0][0]",
-            lambda p: tilemath.morton(
-                tilemath.tile_x(f"{p}.x", str(zoom)), tilemath.tile_y(f"{p}.y", str(zoom)), zoom
-            ),
-        ),
+    first = lambda i: (
+        rf"try_cast(regexp_extract(`{geometry_column}`, r'\(\s*\(?\s*([^\s,()]+)\s+([^\s,()]+)', {i}) AS DOUBLE)"
     )
-    keyed = df.withColumn("cell", F.expr(first))
-    order = [F.col("cell"), F.xxhash64(geometry_column)]
+    z = str(zoom)
+    address = f"named_struct('x', {tilemath.tile_x(first(1), z)}, 'y', {tilemath.tile_y(first(2), z)})"
+    cell = geo.let(address, lambda t: tilemath.morton(f"{t}.x", f"{t}.y", zoom))
+    order = [F.expr(cell), F.xxhash64(geometry_column)]
     ranged = (
-        keyed.repartitionByRange(partitions, *order)
-        if partitions
-        else keyed.repartitionByRange(*order)
+        df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )
     return ranged.sortWithinPartitions(*order)
 
@@ -363,11 +359,12 @@ def process_layers(
             log.warning("Unknown feature type: %s", name)
             continue
         element, build = LAYERS[name]
-        layer = build(elements.scan(spark, input_path, element))
+        source = elements.scan(spark, input_path, element)
         if name == "roads":
-            layer = spatial_partition(layer)
+            # Filters move below the shuffle, measures stay above it.
+            source = spatial_partition(source, "geometry")
         target = f"{output_path}/{name}"
-        results.append((name, sinks.write_layer(layer, target), target))
+        results.append((name, sinks.write_layer(build(source), target), target))
     return spark.createDataFrame(
         results, "feature_type string, record_count long, output_path string"
     )

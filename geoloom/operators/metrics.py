@@ -132,8 +132,12 @@ def exact_percentiles(
     inside = W.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
-    ranked = wanted.join(counts, [*keys, "_bin"]).withColumn(
-        "_upto", F.col("_before") + F.sum("_n").over(inside)
+    on = [F.col(f"w.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_bin"]]
+    ranked = (
+        wanted.alias("w")
+        .join(counts.alias("c"), on)
+        .select("w.*", "c._v", "c._n")
+        .withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
     )
     at = lambda r: F.max(
         F.when((r >= F.col("_upto") - F.col("_n")) & (r < F.col("_upto")), F.col("_v"))
@@ -207,10 +211,10 @@ def alerts(aggregates: DataFrame, rules: list[AlertRule], per_labels: bool = Fal
 
     At every window end a metric's last k aggregates (label sets mixed unless ``per_labels``)
     must all violate the limit and lie within the evaluation period.  The look-back is bounded
-    by that period, so a metric's history is cut into day slices that carry over just the
-    period before them: a metric that owns a third of all aggregates is spread over its days.
+    by that period, so a metric's history is cut into slices that carry over just the period
+    before them: a metric that owns a third of all aggregates is spread over its slices.
     """
-    day = 86400
+    slice_seconds = max(3600, max(r.evaluation_period for r in rules))
     series = ["name", "label_key"] if per_labels else ["name"]
     rule = rules_frame(aggregates.sparkSession, rules).withColumnRenamed("metric_name", "name")
     judged = (
@@ -218,9 +222,9 @@ def alerts(aggregates: DataFrame, rules: list[AlertRule], per_labels: bool = Fal
         .join(rule, "name")
         .withColumn("_t", F.unix_timestamp(F.col("window_end").cast("timestamp")))
         .withColumn("_bad", violated(F.col("avg")))
-        .withColumn("_own", F.floor(F.col("_t") / day))
+        .withColumn("_own", F.floor(F.col("_t") / slice_seconds))
     )
-    last = F.floor((F.col("_t") + F.col("evaluation_period")) / day)
+    last = F.floor((F.col("_t") + F.col("evaluation_period")) / slice_seconds)
     sliced = judged.withColumn("_slice", F.explode(F.sequence("_own", last)))
     rule_key = ["comparison_operator", "critical_threshold"]
     parts = [*series, *rule_key, "_slice"]

@@ -287,7 +287,7 @@ def member_join(spark, sf_dir):
 @query("h21_spatial_partition", fx.sql(
     "select highway as road_type, count(*) as n from fx_ways where highway <> 'footway' group by 1", "fx_ways"))
 def spatial_partition(spark, sf_dir):
-    df = layers.spatial_partition(layers.roads(fx.ways(spark, sf_dir)))
+    df = layers.roads(layers.spatial_partition(fx.ways(spark, sf_dir), "geometry"))
     return df.groupBy("road_type").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -52,18 +52,16 @@ def write_windows(
     """Closed windows to a table, alerts to another.
 
     Each batch goes to its own folder and is overwritten when it is retried, so a lost executor
-    or a restart leaves no duplicates.
+    or a restart leaves no duplicates.  For alerts every batch also leaves the aggregates of
+    the last evaluation period to the next one; older history is never read again.
     """
 
     def finish(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
         finish_windows(batch).write.mode("overwrite").parquet(target)
-        if rules is not None:
-            spark = batch.sparkSession
-            fresh = spark.read.parquet(target)
-            _alerts_of(spark, fresh, rules, path, batch_id).write.mode("overwrite").parquet(
-                f"{alerts_path}/batch_id={batch_id}"
-            )
+        if rules:
+            fresh = batch.sparkSession.read.parquet(target)
+            _raise_alerts(fresh, rules, alerts_path, batch_id)
 
     writer = (
         value_counts(stream, duration, lateness)
@@ -76,20 +74,25 @@ def write_windows(
     return writer.start()
 
 
-def _alerts_of(
-    spark: SparkSession, fresh: DataFrame, rules: list[metrics.AlertRule], path: str, batch_id: int
-) -> DataFrame:
-    """Alerts at the new window ends, looking back into earlier batches for one period only."""
-    periods = max(r.evaluation_period for r in rules)
-    span = fresh.agg(F.min("window_end").alias("lo")).first()["lo"]
-    history = fresh
-    if batch_id > 0 and span is not None:
-        known = spark.read.option("basePath", path).schema(fresh.schema.add("batch_id", "long")).parquet(path)
-        start = F.lit(span) - F.make_interval(secs=F.lit(periods))
-        older = known.filter((F.col("batch_id") < batch_id) & (F.col("window_end") >= start))
-        history = fresh.unionByName(older.drop("batch_id"))
+def _raise_alerts(
+    fresh: DataFrame, rules: list[metrics.AlertRule], path: str, batch_id: int
+) -> None:
+    """Alerts at the new window ends, looking back over what the previous batch handed on."""
+    spark = fresh.sparkSession
+    kept = ["name", "label_key", "window_end", "avg"]
+    history = fresh.select(*kept)
+    if batch_id > 0:
+        handed_on = spark.read.schema(history.schema).parquet(f"{path}-recent/batch_id={batch_id - 1}")
+        history = history.unionByName(handed_on)
+    period = max(r.evaluation_period for r in rules)
+    newest = history.agg(F.max("window_end")).scalar()
+    recent = history.filter(F.col("window_end") >= newest - F.expr(f"INTERVAL {period} SECONDS"))
+    recent.write.mode("overwrite").parquet(f"{path}-recent/batch_id={batch_id}")
     ends = fresh.select(F.col("name").alias("metric_name"), F.col("window_end").alias("timestamp"))
-    return metrics.alerts(history, rules).join(ends.distinct(), ["metric_name", "timestamp"], "left_semi")
+    found = metrics.alerts(history, rules).join(
+        ends.distinct(), ["metric_name", "timestamp"], "left_semi"
+    )
+    found.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_windows(spark: SparkSession, path: str, schema) -> DataFrame:
