@@ -36,22 +36,32 @@ def conflate(
 ) -> DataFrame:
     """Best partner in ``right`` (osm_id, name, geometry) for each left feature: near and alike.
 
-    The best pair per left feature is an aggregate over the pairs, not a window.
+    Copies (same name and geometry) are matched once and share the result, so a place with very
+    many copies does not pair all of them.  The best pair is an aggregate, not a window.
     """
+
+    def groups(df: DataFrame, geom: str) -> DataFrame:
+        return df.groupBy(F.coalesce("name", F.lit("")).alias("name"), F.col(geom).alias("geom"))
+
     pairs = joins.distance_join(
-        left.select("osm_id", "name", left_geom),
-        right.select("osm_id", "name", right_geom),
+        groups(left, left_geom).agg(F.count(F.lit(1)).alias("copies")).drop("copies"),
+        groups(right, right_geom).agg(F.min("osm_id").alias("match_id")),
         distance,
-        left_geom,
-        right_geom,
+        "geom",
+        "geom",
+    )
+    alike = pairs.withColumn("name_distance", F.levenshtein("name", "name_right")).filter(
+        F.col("name_distance") <= max_name_distance
+    )
+    best = alike.groupBy("name", "geom").agg(
+        F.min(F.struct("name_distance", "match_id")).alias("best")
+    )
+    features = left.select(
+        "osm_id", F.coalesce("name", F.lit("")).alias("name"), F.col(left_geom).alias("geom")
     )
-    gap = F.levenshtein(
-        F.coalesce(F.col("name"), F.lit("")), F.coalesce(F.col("name_right"), F.lit(""))
+    return features.join(best, ["name", "geom"]).select(
+        "osm_id", "best.match_id", "best.name_distance"
     )
-    alike = pairs.withColumn("name_distance", gap).filter(F.col("name_distance") <= max_name_distance)
-    return alike.groupBy("osm_id").agg(
-        F.min(F.struct("name_distance", F.col("osm_id_right").alias("match_id"))).alias("best")
-    ).select("osm_id", "best.match_id", "best.name_distance")
 
 
 def road_junctions(vertices: DataFrame) -> DataFrame:

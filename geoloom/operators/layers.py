@@ -27,8 +27,16 @@ def tag(key: str):
 
 
 def way_vertices(ways: DataFrame) -> DataFrame:
-    """One row per node reference: way_id, pos, ref."""
-    return ways.select(F.col("id").alias("way_id"), F.posexplode("nodes").alias("pos", "ref"))
+    """One row per node reference: way_id, shape, pos, ref.
+
+    ``shape`` is a hash of the reference list, so that (way_id, shape) stands for one list even
+    where a way id occurs in many rows.
+    """
+    return ways.select(
+        F.col("id").alias("way_id"),
+        F.xxhash64("nodes").alias("shape"),
+        F.posexplode("nodes").alias("pos", "ref"),
+    )
 
 
 def node_lookup_join(vertices: DataFrame, nodes: DataFrame, how: str = "inner") -> DataFrame:
@@ -44,9 +52,10 @@ def node_lookup_join(vertices: DataFrame, nodes: DataFrame, how: str = "inner")
 
 
 def way_points(ways: DataFrame, nodes: DataFrame, missing_nodes: str = "skip") -> DataFrame:
-    """``id, points``: each way's coordinates in reference order, at least two of them.
+    """``id, shape, points``: coordinates in reference order, at least two of them.
 
-    A group is the content of one input row's ``nodes`` array, so it is as bounded as that row.
+    A group is one reference list: copies of a row collapse into the same set of vertices
+    before the shuffle, so no group outgrows the longest ``nodes`` array of the input.
     ``missing_nodes`` says whether unresolved references are skipped or drop the way.
     """
     if missing_nodes not in ("skip", "drop"):
@@ -54,21 +63,26 @@ def way_points(ways: DataFrame, nodes: DataFrame, missing_nodes: str = "skip") -
     how = "inner" if missing_nodes == "skip" else "left"
     found = node_lookup_join(way_vertices(ways), nodes, how)
     vertex = F.struct("pos", F.col("lon").alias("x"), F.col("lat").alias("y"))
-    grouped = found.groupBy(F.col("way_id").alias("id")).agg(
-        F.array_sort(F.collect_list(vertex)).alias("vs")
+    grouped = found.groupBy(F.col("way_id").alias("id"), "shape").agg(
+        F.array_sort(F.collect_set(vertex)).alias("vs")
     )
     if missing_nodes == "drop":
         grouped = grouped.filter("forall(vs, v -> v.x IS NOT NULL)")
     points = F.expr("transform(vs, v -> named_struct('x', v.x, 'y', v.y))")
-    return grouped.filter(F.size("vs") >= 2).select("id", points.alias("points"))
+    return grouped.filter(F.size("vs") >= 2).select("id", "shape", points.alias("points"))
+
+
+def _with_shapes(ways: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Join way rows back to what was built from their reference list."""
+    return ways.withColumn("shape", F.xxhash64("nodes")).join(shapes, ["id", "shape"]).drop("shape")
 
 
 def with_lines(ways: DataFrame, nodes: DataFrame, missing_nodes: str = "skip") -> DataFrame:
     """Ways joined back to their line geometry."""
     lines = way_points(ways, nodes, missing_nodes).select(
-        "id", F.expr(geo.line("points")).alias("geom")
+        "id", "shape", F.expr(geo.line("points")).alias("geom")
     )
-    return ways.join(lines, "id")
+    return _with_shapes(ways, lines)
 
 
 # --- strict layers of the ingest path -------------------------------------------------------
@@ -125,7 +139,9 @@ def building_ways(ways: DataFrame, nodes: DataFrame, missing_nodes: str = "skip"
     rings = way_points(listed, nodes, missing_nodes).filter(
         "size(points) >= 4 AND points[0] = element_at(points, -1)"
     )
-    shaped = listed.join(rings.select("id", F.expr(geo.polygon("points")).alias("geom")), "id")
+    shaped = _with_shapes(
+        listed, rings.select("id", "shape", F.expr(geo.polygon("points")).alias("geom"))
+    )
     return shaped.select(
         F.col("id").alias("osm_id"),
         tag("building").alias("building_type"),
@@ -139,12 +155,17 @@ def building_ways(ways: DataFrame, nodes: DataFrame, missing_nodes: str = "skip"
 
 
 def member_join(relations: DataFrame, lines: DataFrame) -> DataFrame:
-    """Way members of each relation with their line: relation_id, seq, role, way_id, points."""
+    """Way members of each relation with their line.
+
+    Columns relation_id, shape (hash of the members list), seq, role, way_id, points.
+    """
     members = relations.select(
-        F.col("id").alias("relation_id"), F.posexplode("members").alias("seq", "m")
+        F.col("id").alias("relation_id"),
+        F.xxhash64("members").alias("shape"),
+        F.posexplode("members").alias("seq", "m"),
     ).filter("m.type IN ('way', 'w')")
     return members.select(
-        "relation_id", "seq", F.col("m.role").alias("role"), F.col("m.ref").alias("way_id")
+        "relation_id", "shape", "seq", F.col("m.role").alias("role"), F.col("m.ref").alias("way_id")
     ).join(lines.select(F.col("id").alias("way_id"), "points"), "way_id")
 
 
@@ -186,39 +207,46 @@ def stitch_rings(lines: pd.Series) -> pd.Series:
 def admin_boundaries(relations: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """Administrative relations as polygons, one row per closed outer ring.
 
-    The lines of one ring set come from one relation row's members array.  Inner rings stay
-    with the outer ring that holds them.
+    A group is one members list (copies of a relation collapse into it), so it is as bounded as
+    that list.  Inner rings stay with the outer ring that holds them.
     """
     admin = relations.filter(tag("boundary") == "administrative")
     wanted = admin.select(F.explode("members").alias("m")).filter("m.type IN ('way', 'w')")
     used = ways.join(wanted.select(F.col("m.ref").alias("id")), "id", "left_semi")
     members = member_join(admin, way_points(used, nodes))
     side = F.when(F.col("role") == "inner", "inner").otherwise("outer")
-    chains = members.groupBy("relation_id").agg(
+    chains = members.groupBy("relation_id", "shape").agg(
         *[
             F.array_sort(
-                F.collect_list(F.when(side == s, F.struct("seq", "points")))
+                F.collect_set(F.when(side == s, F.struct("seq", "points")))
             ).alias(s)
             for s in ("outer", "inner")
         ]
     )
     rings = chains.select(
-        "relation_id", stitch_rings("outer").alias("shells"), stitch_rings("inner").alias("holes")
+        "relation_id",
+        "shape",
+        stitch_rings("outer").alias("shells"),
+        stitch_rings("inner").alias("holes"),
+    )
+    shells = rings.select(
+        "relation_id", "shape", F.posexplode("shells").alias("ring_no", "shell"), "holes"
     )
-    shells = rings.select("relation_id", F.posexplode("shells").alias("ring_no", "shell"), "holes")
     shell = geo.let(geo.polygon("shell"), lambda s: geo.let(geo.polygon("h"), lambda h: geo.within(h, s)))
     geom = (
         "named_struct('kind', 'POLYGON', 'parts', "
         f"concat(array(shell), filter(holes, h -> {shell})))"
     )
-    polygons = shells.select("relation_id", "ring_no", F.expr(geom).alias("geom"))
+    polygons = shells.select("relation_id", "shape", "ring_no", F.expr(geom).alias("geom"))
     names = admin.select(
         F.col("id").alias("relation_id"),
+        F.xxhash64("members").alias("shape"),
         F.coalesce(tag("name"), F.lit("")).alias("name"),
         tag("admin_level").alias("admin_level"),
         "tags",
     )
-    return names.join(polygons, "relation_id").withColumnRenamed("relation_id", "osm_id")
+    joined = names.join(polygons, ["relation_id", "shape"]).drop("shape")
+    return joined.withColumnRenamed("relation_id", "osm_id")
 
 
 def ingest_layers(data: elements.Elements) -> dict[str, DataFrame]:

@@ -101,3 +101,10 @@ def test_conflate_takes_the_nearest_name(spark):
     b = spark.createDataFrame([(7, "Café Rio", "POINT (0 0.001)"), (8, "Cafe Rino", "POINT (0.001 0)"), (9, "Cafe Rio", "POINT (1 1)"), (10, "Bar", "POINT (5 5)")],
                               "osm_id int, name string, geometry_wkt string")
     assert [tuple(r) for r in changes.conflate(a, b, 0.01, 1).collect()] == [(1, 7, 1)]
+
+
+def test_conflate_matches_copies_once(spark):
+    a = spark.range(500).selectExpr("id as osm_id", "'Kiosk' as name", "'POINT (1 1)' as geometry_wkt")
+    b = spark.range(700).selectExpr("id + 1000 as osm_id", "'Kiosk' as name", "'POINT (1 1)' as geometry_wkt")
+    got = changes.conflate(a, b, 0.1, 0)
+    assert got.count() == 500 and {r["match_id"] for r in got.collect()} == {1000}

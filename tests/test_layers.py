@@ -63,6 +63,15 @@ def test_geometry_edge_cases(spark):
     assert got == {1: 4, 3: 4}
 
 
+def test_copies_and_versions_of_a_way(spark):
+    """Many copies of one row, and another node list under the same id."""
+    copies = ways(spark, [(1, [1, 2, 3], {"highway": "service"})] * 50 + [(1, [4, 5], {"highway": "service"})])
+    vertices = layers.way_points(copies, nodes(spark, GRID))
+    assert sorted(len(r["points"]) for r in vertices.collect()) == [2, 3]
+    lines = layers.road_lines(copies, nodes(spark, GRID)).groupBy("geometry_wkt").count().collect()
+    assert sorted(r["count"] for r in lines) == [1, 50]
+
+
 def test_tag_edge_cases(spark):
     long = "x" * 2000
     df = nodes(spark, [(1, 0.0, 0.0, {}), (2, 0.0, 0.0, {"amenity": "cafe", "name": 'Café "Special" & More'}),
