@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 import struct
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,6 +110,7 @@ def encode_layer(name: str, features, extent: int = 4096) -> bytes:
     return _field(3, layer)
 
 
-@F.pandas_udf(T.BinaryType())
-def encode_layers(layer: pd.Series, features: pd.Series) -> pd.Series:
-    return pd.Series([encode_layer(name, fs) for name, fs in zip(layer, features)], dtype=object)
+@F.arrow_udf(T.BinaryType())
+def encode_layers(layer: pa.Array, features: pa.Array) -> pa.Array:
+    tiles = zip(layer.to_pylist(), features)
+    return pa.array([encode_layer(name, fs.as_py()) for name, fs in tiles], pa.binary())

@@ -11,6 +11,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,22 +61,30 @@ def ring_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return weights
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
-def _part_weights(xs: pd.Series, ys: pd.Series) -> pd.Series:
-    def one(px, py):
-        if px is None or py is None:
-            return None
-        return [
-            ring_weights(np.asarray(x, float), np.asarray(y, float)).tolist()
-            for x, y in zip(px, py)
-        ]
-
-    return pd.Series([one(px, py) for px, py in zip(xs, ys)], dtype=object)
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+def _part_weights(xs: pa.Array, ys: pa.Array) -> pa.Array:
+    """Works on the flat coordinate buffers; the result reuses the input's list offsets."""
+    rings = xs.values
+    x = rings.values.to_numpy(zero_copy_only=False)
+    y = ys.values.values.to_numpy(zero_copy_only=False)
+    weights = np.zeros(len(x))
+    bounds = rings.offsets.to_numpy()
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        weights[lo:hi] = ring_weights(x[lo:hi], y[lo:hi])
+    flat = pa.ListArray.from_arrays(rings.offsets, pa.array(weights))
+    return pa.ListArray.from_arrays(xs.offsets, flat)
 
 
 def weights_column(geom: str) -> Column:
-    """``array<array<double>>`` of vertex weights, shaped like the geometry's parts."""
-    axis = lambda c: F.expr(f"transform({geom}.parts, r -> transform(r, p -> p.{c}))")
+    """``array<array<double>>`` of vertex weights, shaped like the geometry's parts.
+
+    Points need no weights and send nothing to Python.
+    """
+    axis = lambda c: F.expr(
+        f"CASE WHEN {geom}.kind <> 'POINT' "
+        f"THEN transform({geom}.parts, r -> transform(r, p -> p.{c})) "
+        "ELSE CAST(array() AS ARRAY<ARRAY<DOUBLE>>) END"
+    )
     return _part_weights(axis("x"), axis("y"))
 
 
@@ -91,7 +100,6 @@ def simplified(geom: str, weights: str, tolerance: str) -> str:
 
 
 def with_weights(df: DataFrame, geom: str = "geom", out: str = "weights") -> DataFrame:
-    """Points skip the Python pass by having no inner vertices to weigh."""
     return df.withColumn(out, weights_column(geom))
 
 
