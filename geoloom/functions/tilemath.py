@@ -104,24 +104,32 @@ def reproject(g: str, source_epsg: int, target_epsg: int) -> str:
     )
 
 
-def meets_box(g: str, b: str) -> str:
-    """The geometry and the closed box share a point."""
-    e = _lambda()[0]
+def edge_meets_box(e: str, b: str) -> str:
+    """The segment and the closed box share a point: boxes overlap, corners on both sides."""
     corner = lambda x, y: f"named_struct('x', {b}.{x}, 'y', {b}.{y})"
-    turns = [
+    turns = ", ".join(
         _turn(f"{e}.a", f"{e}.b", corner(x, y)) for x in ("x0", "x1") for y in ("y0", "y1")
-    ]
-    touches = (
+    )
+    sides = let(f"array({turns})", lambda t: f"array_min({t}) <= 0 AND array_max({t}) >= 0")
+    return (
         f"(greatest({e}.a.x, {e}.b.x) >= {b}.x0 AND least({e}.a.x, {e}.b.x) <= {b}.x1 "
         f"AND greatest({e}.a.y, {e}.b.y) >= {b}.y0 AND least({e}.a.y, {e}.b.y) <= {b}.y1 "
-        f"AND least({', '.join(turns)}) <= 0 AND greatest({', '.join(turns)}) >= 0)"
+        f"AND {sides})"
     )
+
+
+def meets_box(g: str, b: str) -> str:
+    """The geometry and the closed box share a point."""
+    e = _lambda()[0]
+    corner = f"named_struct('x', {b}.x0, 'y', {b}.y0)"
     surrounds = lambda es: (
-        f"({g}.kind = 'POLYGON' AND {let(corner('x0', 'y0'), lambda p: _odd_crossings(p, es))})"
+        f"({g}.kind = 'POLYGON' AND {let(corner, lambda p: _odd_crossings(p, es))})"
     )
     p = f"{g}.parts[0][0]"
     in_box = f"({p}.x BETWEEN {b}.x0 AND {b}.x1 AND {p}.y BETWEEN {b}.y0 AND {b}.y1)"
-    general = let(edges(g), lambda es: f"(exists({es}, {e} -> {touches}) OR {surrounds(es)})")
+    general = let(
+        edges(g), lambda es: f"(exists({es}, {e} -> {edge_meets_box(e, b)}) OR {surrounds(es)})"
+    )
     return f"coalesce(CASE WHEN {g}.kind = 'POINT' THEN {in_box} ELSE {general} END, false)"
 
 
