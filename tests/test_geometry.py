@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,44 @@ def test_is_valid(spark, wkt, ok):
     assert value(spark, geo.wkt_is_valid("w"), w=wkt) is ok
 
 
+def test_large_rings_are_checked_in_strips(spark):
+    """A circle of 4,000 vertices is valid; swapping two far vertices makes it cross itself."""
+    circle = [(math.cos(2 * math.pi * i / 4000), math.sin(2 * math.pi * i / 4000)) for i in range(4000)]
+    crossed = list(circle)
+    crossed[700], crossed[2900] = crossed[2900], crossed[700]
+    ring = lambda pts: "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*pts, pts[0]]) + "))"
+    start = time.time()
+    assert value(spark, geo.wkt_is_valid("w"), w=ring(circle)) is True
+    assert value(spark, geo.wkt_is_valid("w"), w=ring(crossed)) is False
+    assert time.time() - start < 30
+
+
+def test_validity_equals_comparing_all_pairs(spark):
+    """Random rings: strips find a crossing exactly when some pair of edges crosses."""
+    rng = random.Random(9)
+    rows, want = [], {}
+    for i in range(300):
+        n = rng.choice((4, 6, 20, 40))
+        angles = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
+        pts = [(round(rng.uniform(3, 9) * math.cos(a), 3), round(rng.uniform(3, 9) * math.sin(a), 3)) for a in angles]
+        if i % 2:
+            a, b = rng.sample(range(n), 2)
+            pts[a], pts[b] = pts[b], pts[a]
+        if len(set(pts)) < n:
+            continue
+        edge = list(zip(pts, pts[1:] + pts[:1]))
+        turn = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+        cross = any(
+            turn(*edge[j], edge[k][0]) * turn(*edge[j], edge[k][1]) < 0 and turn(*edge[k], edge[j][0]) * turn(*edge[k], edge[j][1]) < 0
+            for j in range(n) for k in range(j + 2, n) if (j, k) != (0, n - 1)
+        )
+        want[i] = not cross
+        rows.append((i, "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in [*pts, pts[0]]) + "))"))
+    df = spark.createDataFrame(rows, "i int, w string")
+    got = {r["i"]: r["v"] for r in df.select("i", F.expr(geo.wkt_is_valid("w")).alias("v")).collect()}
+    assert got == want and 20 < sum(want.values()) < len(want) - 20
+
+
 def _douglas_peucker(points, tol):
     (x0, y0), (x1, y1) = points[0], points[-1]
     best, at = -1.0, 0
