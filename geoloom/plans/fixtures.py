@@ -225,7 +225,7 @@ def cte(name: str) -> str:
 
 def sql(body: str, *names: str) -> str:
     """The check's SQL with the named fixtures as common table expressions in front."""
-    head = "with " + ", ".join(cte(n) for n in names)
+    head = "with recursive " + ", ".join(cte(n) for n in names)
     body = body.strip()
     return f"{head}, {body[4:].strip()}" if body.lower().startswith("with") else f"{head} {body}"
 

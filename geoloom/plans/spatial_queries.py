@@ -9,7 +9,7 @@ from geoloom.functions import simplify, tilemath
 from geoloom.functions.sql import register
 from geoloom.operators import changes, joins, layers
 from geoloom.plans import fixtures as fx
-from geoloom.plans.layer_queries import AREA_M2, way_lengths
+from geoloom.plans.layer_queries import AREA_M2, WEIGHTS, way_lengths
 from geoloom.plans.registry import query
 
 _IDS = ["l_orderkey", "l_linenumber"]
@@ -121,7 +121,13 @@ def geometry_length(spark, sf_dir):
     )
 
 
-@query("f8_simplify_geometry")
+def _kept(t: float, name: str) -> str:
+    return f"cast(2 + greatest(count(w) filter (w > {t}), case when bool_or(ring) then 2 else 0 end) as int) as {name}"
+
+
+@query("f8_simplify_geometry", fx.sql(
+    f"with {WEIGHTS} select l.id, {_kept(0.001, 'kept_fine')}, {_kept(0.02, 'kept_medium')}, {_kept(0.05, 'kept_coarse')} "
+    "from lines l left join weights w on w.id = l.id group by l.id", "fx_vertices"))
 def simplify_geometry(spark, sf_dir):
     """Vertices kept at three tolerances, all from one weighing pass."""
     df = fx.ways(spark, sf_dir).select("id", F.expr(geo.parse_wkt("geometry")).alias("geom"))

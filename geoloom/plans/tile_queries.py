@@ -9,7 +9,7 @@ from geoloom.functions import geometry as geo
 from geoloom.functions import tilemath
 from geoloom.operators import catalog, layers, tiles
 from geoloom.plans import fixtures as fx
-from geoloom.plans.layer_queries import CATEGORY, SCORE, WIDE, way_lengths
+from geoloom.plans.layer_queries import CATEGORY, SCORE, WEIGHTS, WIDE, way_lengths
 from geoloom.plans.registry import query
 from geoloom.sources import sinks
 
@@ -135,7 +135,7 @@ def layer_filters(spark, sf_dir):
 def zoom_visible(spark, sf_dir):
     zooms = [0, 7, 8, 10, 12, 14]
     parts = [
-        tiles._zoomed(tiles.prepare_source(df, layer), layer, zooms).select("layer", "z")
+        tiles.features_by_zoom(tiles.prepare_source(df, layer), layer, zooms).select("layer", "z")
         for layer, df in ((POIS, _pois(spark, sf_dir)), (ZONES, fx.zones(spark, sf_dir)))
     ]
     return parts[0].unionByName(parts[1]).groupBy("layer", "z").agg(F.count(F.lit(1)).alias("features"))
@@ -325,7 +325,12 @@ def zoom_pyramid(spark, sf_dir):
     return df.select("osm_id", "zoom", "importance_score", "geometry_simplified")
 
 
-@query("h18_zoom_pyramid_lines")
+@query("h18_zoom_pyramid_lines", fx.sql(
+    f"with {WEIGHTS}, ranked as (select *, row_number() over (partition by id order by w desc, i) as best from weights) "
+    "select v.id as osm_id, zoom, concat('LINESTRING (', string_agg(concat(lon, ' ', lat), ', ' order by v.i), ')') as geometry_simplified "
+    "from fx_ways f join fx_vertices v on v.id = f.id left join ranked r on r.id = v.id and r.i = v.i, (values (1), (5), (9), (13)) z(zoom) "
+    "where highway <> 'footway' and (zoom > 12 or (zoom > 8 and (f.id % 4 + 1) * 3 >= 6) or (f.id % 4 + 1) * 3 >= 8) "
+    "and (v.i = 0 or v.i = n - 1 or w > 0.001 / pow(2, zoom - 1) or (ring and best <= 2)) group by v.id, zoom", "fx_ways", "fx_vertices"))
 def zoom_pyramid_lines(spark, sf_dir):
     """Roads scored by lane count, simplified per zoom from one weighing pass."""
     scored = layers.roads(fx.ways(spark, sf_dir)).withColumn("importance_score", F.expr("cast(lanes as int) * 3"))
