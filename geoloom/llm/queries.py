@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import checks, decontam, secret_ledger
+from geoloom.llm import bpe, checks, decontam, neardup, secret_ledger
 from geoloom.llm.common import table
 
 
@@ -25,6 +26,21 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.encode(documents, public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
+    return rows.select(
+        "doc_id",
+        F.floor(F.octet_length("tokens") / 4).alias("n_tokens"),
+        F.sha2("tokens", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = decontam.hit_words(F.col("spans")).cast("bigint")
@@ -40,10 +56,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op10_decontamination": op10_decontamination,
 }
 
 CHECKS = {
     "op1_secret_scans": checks.SECRET_SCANS,
+    "op2_minhash_near_dedup": checks.NEAR_DUPLICATES,
     "op10_decontamination": checks.DECONTAMINATION,
 }
