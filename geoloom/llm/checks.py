@@ -60,9 +60,9 @@ s as materialized (select distinct doc_id, unnest(case when len(w) >= 3
     then list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
     when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as x from d),
 n as materialized (select doc_id, count(*) as n from s group by doc_id),
-o as (select a.doc_id as u, b.doc_id as v, count(*) as both from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by all),
+o as (select a.doc_id as u, b.doc_id as v, count(*) as k from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by all),
 links as materialized (select u, v from o join n p on p.doc_id = u join n q on q.doc_id = v
-    where 100 * both >= 85 * (p.n + q.n - both)),
+    where 100 * k >= 85 * (p.n + q.n - k)),
 ways as (select u, v from links union all select v, u from links),
 reach as (select doc_id, doc_id as other from n union select reach.doc_id, ways.v from reach join ways on ways.u = reach.other),
 least as (select doc_id, min(other) as c from reach group by doc_id)
