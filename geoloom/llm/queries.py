@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, checks, decontam, neardup, secret_ledger
+from geoloom.llm import bpe, checks, decontam, neardup, runindex, secret_ledger
 from geoloom.llm.common import table
 
 
@@ -41,6 +41,17 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = runindex.deduplicate(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = decontam.hit_words(F.col("spans")).cast("bigint")
@@ -58,6 +69,7 @@ QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
