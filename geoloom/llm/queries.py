@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, checks, decontam, neardup, runindex, secret_ledger
+from geoloom.llm import bpe, checks, decontam, neardup, runindex, secret_ledger, toxicity
 from geoloom.llm.common import table
 
+#: Documents from this score on are taken as toxic.
+TOXIC_FROM = 0.7
+
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,6 +44,15 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), ~held_out)
+    rows = toxicity.score(documents, model)
+    predicted = (F.col("score") >= TOXIC_FROM).cast("int")
+    return rows.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = runindex.deduplicate(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -69,6 +81,7 @@ QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_toxicity": op4_toxicity,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op10_decontamination": op10_decontamination,
 }
