@@ -69,3 +69,26 @@ least as (select doc_id, min(other) as c from reach group by doc_id)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(least.c, d.doc_id) as component_id,
     coalesce(least.c, d.doc_id) = d.doc_id as kept
 from d left join n using (doc_id) left join least using (doc_id)"""
+
+TOP_K = """
+with e as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+    where vec_id is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, p.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * p.v[i]))::bigint as score
+    from e q join e p on p.vec_id != q.vec_id and len(p.v) = len(q.v) where q.vec_id % 20 = 0)
+select * from (select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score from s)
+where rank <= 20"""
+
+PERSPECTIVES = r"""
+with t as (select conv_id, turn, coalesce(role, '') as speaker, coalesce(text, '') as body from conversations),
+p as (select distinct conv_id, speaker as participant from t where speaker != 'system'),
+r as (select t.*, participant, case when speaker = participant then 'assistant' when speaker = 'system' then 'system' else 'user' end as role
+    from t join p on t.conv_id is not distinct from p.conv_id),
+x as (select *, '<|im_start|>' || role || case when role = 'user' then ' name=' || regexp_replace(speaker, '[^A-Za-z0-9_-]', '_', 'g') else '' end
+    || chr(10) as head, regexp_replace(body, '<\|(im_start|im_end)\|>', '<| \1|>', 'g') || '<|im_end|>' as content from r),
+o as (select *, head || content || chr(10) as segment,
+    row_number() over w as seq, coalesce(sum(length(head || content) + 1) over (w rows between unbounded preceding and 1 preceding), 0) as s
+    from x window w as (partition by conv_id, participant order by turn nulls first, speaker, body))
+select conv_id, participant, seq, turn, role, segment as text, s as start, s + length(segment) as "end",
+    case when role = 'assistant' then s + length(head) end as mask_start,
+    case when role = 'assistant' then s + length(head) + length(content) end as mask_end from o"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, checks, decontam, neardup, runindex, secret_ledger, toxicity
+from geoloom.llm import bpe, chat, checks, decontam, licenses, neardup, runindex, secret_ledger, tokencount, topk, toxicity
 from geoloom.llm.common import table
 
 #: Documents from this score on are taken as toxic.
@@ -53,6 +53,27 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.notices(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    confirmed = F.filter("notices", lambda n: n["confirmed"])
+    return rows.select(
+        "doc_id",
+        F.size("notices").cast("bigint").alias("n_named"),
+        F.size(confirmed).cast("bigint").alias("n_confirmed"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(confirmed, lambda n: n["family"]))), ",").alias("licenses"),
+        F.array_join(F.transform(confirmed, lambda n: n["paragraph"].cast("string")), ",").alias("paragraphs"),
+    )
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.count_tokens(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = runindex.deduplicate(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -64,6 +85,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = decontam.hit_words(F.col("spans")).cast("bigint")
@@ -82,12 +107,18 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_toxicity": op4_toxicity,
+    "op5_license_scans": op5_license_scans,
+    "op6_token_counts": op6_token_counts,
+    "op7_top_k": op7_top_k,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_chat_perspectives": op9_chat_perspectives,
     "op10_decontamination": op10_decontamination,
 }
 
 CHECKS = {
     "op1_secret_scans": checks.SECRET_SCANS,
     "op2_minhash_near_dedup": checks.NEAR_DUPLICATES,
+    "op7_top_k": checks.TOP_K,
+    "op9_chat_perspectives": checks.PERSPECTIVES,
     "op10_decontamination": checks.DECONTAMINATION,
 }
