@@ -15,8 +15,10 @@ Work is cut step by step, and no step emits all pairs of a bucket:
    at most the smaller core, which bounds similarity from above, exactly; classes that cannot reach the
    threshold with any size present in a bucket leave the bucket.
 4. In each bucket all classes are compared with the one of the largest bound (a star), on full sets.
-5. Where a bucket still spans several components, classes of different components are compared, each pair
-   in the first bucket it shares, again on full sets. Pairs inside a component cannot change the result.
+5. Where classes of different components still share a half-band of the first collection, they are
+   compared, each pair in the first such bucket, again on full sets. Pairs inside a component cannot change the result.
+   Cores are also counted by ``BLOCKS`` blocks of shingle hashes: the overlap of two sets is at most the sum
+   over the blocks of the smaller count, which rules most near misses out before their sets are read.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing; rows that repeat a doc_id
 are one document each but share the component; a null doc_id takes no part in links; an empty table gives
@@ -26,10 +28,11 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm import common, wordhash
@@ -38,6 +41,7 @@ from geoloom.llm.graph import components
 TABLES = 8
 ROWS = 2
 LEAST_SHARED = 4
+BLOCKS = 64
 PIECE_BYTES = 2 << 20
 
 _RANDOM = np.random.RandomState(7)
@@ -171,9 +175,18 @@ def links(documents: DataFrame, classes: DataFrame, size: int, percent: int) ->
     sets = sets.dropDuplicates(["rep"]) if repeated(documents) else sets
     each = sets.select("rep", F.explode("shingles").alias("s"))
     common_to = each.groupBy("s").agg(F.count("*").alias("held")).filter("held > 1").select("s")
-    core = each.join(common_to, "s").groupBy("rep").agg(F.count("*").alias("core"))
+    block = F.pmod("s", F.lit(BLOCKS)).alias("block")
+    core = each.join(common_to, "s").groupBy("rep", block).agg(F.count("*").alias("held"))
+    core = core.groupBy("rep").agg(
+        F.sum("held").alias("core"), F.map_from_entries(F.collect_list(F.struct("block", "held"))).alias("blocks")
+    )
     core = core.join(near.select("rep", "n_shingles", "a", "b"), "rep").withColumn("reach", _reach("core", "n_shingles", percent))
-    core = common.stored(core.filter(F.col("core") * 100 >= F.col("n_shingles") * percent), "core")
+    counts = F.transform(
+        F.sequence(F.lit(0), F.lit(BLOCKS - 1)),
+        lambda b: F.coalesce(F.try_element_at("blocks", b.cast("bigint")), F.lit(0)).cast("int"),
+    )
+    core = core.filter(F.col("core") * 100 >= F.col("n_shingles") * percent).withColumn("blocks", counts)
+    core = common.stored(core, "core")
     alive = members.join(core.select("rep", "n_shingles", "core", "reach"), "rep")
     for _ in range(2):
         sizes = alive.groupBy("key").agg(
@@ -199,20 +212,15 @@ def links(documents: DataFrame, classes: DataFrame, size: int, percent: int) ->
     linked = star.filter("linked").select("u", "v")
     parts = components(linked)
     label = F.coalesce(F.col("component"), F.col("rep"))
-    spread = alive.join(parts.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", label)
+    held = core.join(alive.select("rep").distinct(), "rep", "left_semi")
+    held = held.join(parts.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", label)
+    # Whoever shares a table shares a half-band of the first collection: eight buckets to look into, not 64.
+    spread = held.select("*", F.posexplode("a").alias("i", "half")).withColumn("key", F.xxhash64("i", "half"))
     mixed = spread.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-    spread = spread.join(mixed.select("key"), "key").join(core.select("rep", "a", "b"), "rep")
+    spread = spread.join(mixed.select("key"), "key")
     x, y = spread.alias("x"), spread.alias("y")
-
-    def first(side):
-        """Number of the first half-band that the two share."""
-        return F.array_position(F.zip_with(f"x.{side}", f"y.{side}", lambda p, q: p == q), True) - 1
-
-    table_key = F.xxhash64(
-        (first("a") * TABLES + first("b")).cast("int"),
-        F.get(F.col("x.a"), first("a").cast("int")),
-        F.get(F.col("x.b"), first("b").cast("int")),
-    )
+    before = [(F.col("x.i") > k) & (F.get(F.col("x.a"), F.lit(k)) == F.get(F.col("y.a"), F.lit(k))) for k in range(TABLES - 1)]
+    most = F.aggregate(F.zip_with("x.blocks", "y.blocks", lambda p, q: F.least(p, q)), F.lit(0), lambda total, k: total + k)
     across = x.join(
         y,
         (F.col("x.key") == F.col("y.key"))
@@ -220,7 +228,8 @@ def links(documents: DataFrame, classes: DataFrame, size: int, percent: int) ->
         & (F.col("x.component") != F.col("y.component"))
         & (F.col("x.n_shingles") <= F.col("y.reach"))
         & (F.col("y.n_shingles") <= F.col("x.reach"))
-        & (F.col("x.key") == table_key),
+        & ~reduce(Column.__or__, before)
+        & (most * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent),
     ).select(F.col("x.rep").alias("u"), F.col("y.rep").alias("v"))
     across = across.join(star.select("u", "v"), ["u", "v"], "left_anti")
     return linked.unionByName(verified(across, sets, percent).filter("linked").select("u", "v"))
