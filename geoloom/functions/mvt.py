@@ -1,6 +1,6 @@
-"""Vector-tile encoding of one bounded part of a tile layer.
+"""Vector-tile bytes: chunks of a tile layer are encoded apart and put together once per tile.
 
-Spark groups, orders and quantises the features; this helper only writes the bytes.
+Spark groups and quantises the features; this helper only writes the bytes.
 """
 
 from __future__ import annotations
@@ -87,30 +87,168 @@ def _value(v) -> bytes:
     return _field(1, str(v).encode())
 
 
-def encode_layer(name: str, features, extent: int = 4096) -> bytes:
-    """One layer message, framed as a complete tile message."""
-    keys, values, body = {}, {}, []
-    for f in features:
-        commands = _commands(f["kind"], [[(p["x"], p["y"]) for p in r] for r in f["parts"]])
+CHUNK = T.StructType(
+    [
+        T.StructField("keys", T.ArrayType(T.StringType())),
+        T.StructField("values", T.ArrayType(T.BinaryType())),
+        T.StructField("ids", T.ArrayType(T.LongType())),
+        T.StructField("tags", T.ArrayType(T.ArrayType(T.IntegerType()))),
+        T.StructField("bodies", T.ArrayType(T.BinaryType())),
+    ]
+)
+TILE = T.StructType([T.StructField("data", T.BinaryType()), T.StructField("features", T.LongType())])
+
+
+def _chunk(ids, kinds, parts, properties) -> dict:
+    """Features without their framing; tags are pairs of places in the chunk's keys and values."""
+    keys, values, known = {}, {}, {}
+    out = {"ids": [], "tags": [], "bodies": []}
+    for feature_id, kind, rings, text in zip(ids, kinds, parts, properties):
+        commands = _commands(kind, rings)
         if not commands:
             continue
-        tags = []
-        for key, value in json.loads(f["properties"]).items():
-            if value is not None:
-                tags.append(keys.setdefault(key, len(keys)))
-                tags.append(values.setdefault(_value(value), len(values)))
-        message = _varint(1 << 3) + _varint(f["feature_id"]) if f["feature_id"] >= 0 else b""
+        tags = known.get(text)
+        if tags is None:
+            tags = known[text] = []
+            for key, value in json.loads(text).items():
+                if value is not None:
+                    tags.append(keys.setdefault(key, len(keys)))
+                    tags.append(values.setdefault(_value(value), len(values)))
+        out["ids"].append(feature_id)
+        out["tags"].append(tags)
+        out["bodies"].append(_varint(3 << 3) + _varint(GEOM_TYPES[kind]) + _packed(4, commands))
+    return {"keys": list(keys), "values": list(values), **out}
+
+
+def _layer(name: str, chunks, extent: int = 4096) -> tuple[bytes, int]:
+    """One layer message, framed as a complete tile message, and its number of features."""
+    keys, values, features = {}, {}, []
+    for chunk in chunks:
+        key = [keys.setdefault(k, len(keys)) for k in chunk["keys"]]
+        value = [values.setdefault(v, len(values)) for v in chunk["values"]]
+        for feature_id, tags, body in zip(chunk["ids"], chunk["tags"], chunk["bodies"]):
+            named = [(value if i % 2 else key)[t] for i, t in enumerate(tags)]
+            features.append((feature_id is None, feature_id or 0, body, named))
+    features.sort(key=lambda f: f[:3])
+    out = [_varint(15 << 3) + _varint(2) + _field(1, name.encode())]
+    for unnamed, feature_id, body, tags in features:
+        message = b"" if unnamed or feature_id < 0 else _varint(1 << 3) + _varint(feature_id)
         message += _packed(2, tags) if tags else b""
-        message += _varint(3 << 3) + _varint(GEOM_TYPES[f["kind"]]) + _packed(4, commands)
-        body.append(_field(2, message))
-    layer = _varint(15 << 3) + _varint(2) + _field(1, name.encode()) + b"".join(body)
-    layer += b"".join(_field(3, k.encode()) for k in keys)
-    layer += b"".join(_field(4, v) for v in values)
-    layer += _varint(5 << 3) + _varint(extent)
-    return _field(3, layer)
-
-
-@F.arrow_udf(T.BinaryType())
-def encode_layers(layer: pa.Array, features: pa.Array) -> pa.Array:
-    tiles = zip(layer.to_pylist(), features)
-    return pa.array([encode_layer(name, fs.as_py()) for name, fs in tiles], pa.binary())
+        out.append(_field(2, message + body))
+    out += [_field(3, k.encode()) for k in keys] + [_field(4, v) for v in values]
+    out.append(_varint(5 << 3) + _varint(extent))
+    return _field(3, b"".join(out)), len(features)
+
+
+@F.arrow_udf(CHUNK)
+def encode_chunks(features: pa.Array) -> pa.Array:
+    """Chunks from arrays of (feature_id, kind, rings, xs, ys, properties); rings are end positions in xs."""
+    flat = features.flatten()
+    field = {f.name: flat.field(f.name) for f in flat.type}
+    ids, kinds, texts = (field[c].to_pylist() for c in ("feature_id", "kind", "properties"))
+    xs, ys = (field[c].flatten().to_pylist() for c in ("xs", "ys"))
+    points = list(zip(xs, ys))
+    first = field["xs"].offsets.to_numpy() - field["xs"].offsets.to_numpy()[0]
+    ends = field["rings"].to_pylist()
+    parts = [
+        [points[start + a : start + b] for a, b in zip([0, *rings[:-1]], rings)] for start, rings in zip(first.tolist(), ends)
+    ]
+    bounds = (features.offsets.to_numpy() - features.offsets.to_numpy()[0]).tolist() if len(features) else [0]
+    chunks = [
+        _chunk(ids[a:b], kinds[a:b], parts[a:b], texts[a:b]) for a, b in zip(bounds[:-1], bounds[1:])
+    ]
+    return pa.array(chunks, _arrow(CHUNK))
+
+
+@F.arrow_udf(TILE)
+def write_tiles(layers: pa.Array) -> pa.Array:
+    """Tiles from arrays of (layer, chunk): the bytes and the number of features in them."""
+    out = []
+    for chunks in layers:
+        by_layer: dict[str, list] = {}
+        for piece in chunks.as_py():
+            by_layer.setdefault(piece["layer"], []).append(piece["chunk"])
+        written = [_layer(name, by_layer[name]) for name in sorted(by_layer)]
+        filled = [(data, n) for data, n in written if n]
+        out.append({"data": b"".join(data for data, _ in filled), "features": sum(n for _, n in filled)})
+    return pa.array(out, _arrow(TILE))
+
+
+def _arrow(schema: T.StructType) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(schema)
+
+
+# --- reading back ---------------------------------------------------------------------------
+
+FEATURE = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("layer", T.StringType()),
+            T.StructField("id", T.LongType()),
+            T.StructField("type", T.IntegerType()),
+            T.StructField("xs", T.ArrayType(T.IntegerType())),
+            T.StructField("ys", T.ArrayType(T.IntegerType())),
+        ]
+    )
+)
+
+
+def _number(data: bytes, at: int) -> tuple[int, int]:
+    n = shift = 0
+    while True:
+        byte = data[at]
+        n |= (byte & 0x7F) << shift
+        at, shift = at + 1, shift + 7
+        if byte < 0x80:
+            return n, at
+
+
+def _message(data: bytes):
+    at = 0
+    while at < len(data):
+        tag, at = _number(data, at)
+        if tag & 7 == 2:
+            size, at = _number(data, at)
+            yield tag >> 3, data[at : at + size]
+            at += size
+        elif tag & 7 == 0:
+            value, at = _number(data, at)
+            yield tag >> 3, value
+        else:
+            at += 8 if tag & 7 == 1 else 4
+
+
+def _vertices(packed: bytes) -> tuple[list[int], list[int]]:
+    at, x, y, xs, ys = 0, 0, 0, [], []
+    while at < len(packed):
+        command, at = _number(packed, at)
+        if command & 7 == CLOSE_PATH:
+            continue
+        for _ in range(command >> 3):
+            dx, at = _number(packed, at)
+            dy, at = _number(packed, at)
+            x += (dx >> 1) ^ -(dx & 1)
+            y += (dy >> 1) ^ -(dy & 1)
+            xs.append(x)
+            ys.append(y)
+    return xs, ys
+
+
+def read_tile(data: bytes) -> list[dict]:
+    out = []
+    for _, layer in _message(data):
+        fields = list(_message(layer))
+        name = next(v for k, v in fields if k == 1).decode()
+        for body in (v for k, v in fields if k == 2):
+            feature = dict(_message(body))
+            xs, ys = _vertices(feature[4])
+            out.append({"layer": name, "id": feature.get(1), "type": feature[3], "xs": xs, "ys": ys})
+    return out
+
+
+@F.arrow_udf(FEATURE)
+def read_tiles(data: pa.Array) -> pa.Array:
+    """Features (layer, id, type, xs, ys) of tiles."""
+    return pa.array([read_tile(d.as_py()) for d in data], _arrow(FEATURE))

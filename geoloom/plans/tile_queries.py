@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from geoloom import schemas, session
 from geoloom.functions import geometry as geo
-from geoloom.functions import tilemath
+from geoloom.functions import mvt, tilemath
 from geoloom.operators import catalog, layers, tiles
 from geoloom.plans import fixtures as fx
 from geoloom.plans.layer_queries import CATEGORY, SCORE, WEIGHTS, WIDE, way_lengths
@@ -254,32 +254,46 @@ def _low_tiles(spark, sf_dir):
 
 
 @query("h13_tile_geojson", fx.sql(
-    f"select z, x, y, cast(0 as int) as part, feature_count, feature_count as features_in_text, layers > 1 as has_layers, true as parses from ({_COUNTS}) c", "fx_pois", "fx_zones"))
+    f"select z, x, y, feature_count, feature_count as features_in_text, layers > 1 as has_layers, true as parses from ({_COUNTS}) c", "fx_pois", "fx_zones"))
 def tile_geojson(spark, sf_dir):
     """Payloads of two zooms, with what can be read back from their text."""
     text = F.col("data").cast("string")
     df = tiles.tile_geojson(_low_tiles(spark, sf_dir))
     return df.select(
-        "z", "x", "y", "part", "feature_count",
+        "z", "x", "y", "feature_count",
         F.expr("cast(size(split(cast(data as string), '\"type\":\"Feature\",')) - 1 as bigint)").alias("features_in_text"),
         text.startswith('{"pois"').alias("has_layers"),
         F.get_json_object(text, "$").isNotNull().alias("parses"),
     )
 
 
-@query("h14_tile_mvt", fx.sql(
-    f"select z, x, y, cast(0 as int) as part, feature_count, true as has_bytes from ({_COUNTS}) c", "fx_pois", "fx_zones"))
+def _decoded(zooms: str) -> str:
+    """Layer, id and least tile coordinates of every feature of a tile, as its bytes should hold them."""
+    at = lambda lon, lat: (
+        f"cast(round(({lon} - tx0) / (tx1 - tx0) * 4096) as int) as tx, cast(round((1 - ({lat} - ty0) / (ty1 - ty0)) * 4096) as int) as ty"
+    )
+    return (
+        f"select z, x, y, 'pois' as layer, id, {at('lon', 'lat')} from ({point_tiles(zooms)}) t union all "
+        f"select z, x, y, 'zones', id, {at('x0', 'y1')} from ({box_tiles(zooms)}) t"
+    )
+
+
+def _read_back(df):
+    feature = df.select("z", "x", "y", F.explode(mvt.read_tiles("data")).alias("f"))
+    return feature.select("z", "x", "y", "f.layer", "f.id", F.array_min("f.xs").alias("tx"), F.array_min("f.ys").alias("ty"))
+
+
+@query("h14_tile_mvt", fx.sql(_decoded("(2), (5)"), "fx_pois", "fx_zones"))
 def tile_mvt(spark, sf_dir):
-    df = tiles.tile_mvt(_low_tiles(spark, sf_dir))
-    return df.select("z", "x", "y", "part", "feature_count", (F.length("data") > 20).alias("has_bytes"))
+    """Every feature with its least coordinates, read back from the bytes."""
+    return _read_back(tiles.tile_mvt(_low_tiles(spark, sf_dir)))
 
 
 @query("h14_tile_mvt_parts", fx.sql(
     f"select z, x, y, feature_count from ({_COUNTS}) c", "fx_pois", "fx_zones"))
 def tile_mvt_parts(spark, sf_dir):
-    """Tile layers of more than 100 features continue in further parts; together they are whole."""
-    df = tiles.tile_mvt(_low_tiles(spark, sf_dir), part_features=100)
-    return df.groupBy("z", "x", "y").agg(F.sum("feature_count").alias("feature_count"))
+    """Chunks of a crowded tile end up in one row, whose count is that of the bytes."""
+    return tiles.tile_mvt(_low_tiles(spark, sf_dir)).select("z", "x", "y", "feature_count")
 
 
 @query("h15_single_tile", fx.sql(
@@ -287,7 +301,7 @@ def tile_mvt_parts(spark, sf_dir):
     "where z = 3 and x = 4 and y = 2 group by z, x, y", "fx_pois", "fx_zones"))
 def single_tile(spark, sf_dir):
     df = tiles.single_tile(_sources(spark, sf_dir), [POIS, ZONES], 3, 4, 2)
-    return df.groupBy("z", "x", "y").agg(F.sum("feature_count").alias("feature_count"))
+    return df.select("z", "x", "y", "feature_count")
 
 
 @query("h16_tileset", fx.sql(
@@ -298,6 +312,12 @@ def tileset(spark, sf_dir):
     return tiles.tileset_summary(tiles.tile_features(_sources(spark, sf_dir), [POIS, ZONES], [0, 3, 6]))
 
 
+@query("h16_tileset_payloads", fx.sql(_decoded("(0), (3)"), "fx_pois", "fx_zones"))
+def tileset_payloads(spark, sf_dir):
+    """The tileset itself, read back."""
+    return _read_back(tiles.tileset(_sources(spark, sf_dir), [POIS, ZONES], [0, 3]))
+
+
 _AREA = "x between 16 and 39 and y between 20 and 40"
 
 
@@ -311,9 +331,12 @@ def tileset_bbox(spark, sf_dir):
     return tiles.tileset_summary(tiles.tile_features(_sources(spark, sf_dir), [POIS, ZONES], [6], box), box)
 
 
-@query("h17_tile_feature_count", fx.sql(f"select z, x, y, feature_count from ({_COUNTS}) c", "fx_pois", "fx_zones"))
+@query("h17_tile_feature_count", fx.sql(
+    f"select z, x, y, format, feature_count from ({_COUNTS}) c, (values ('mvt'), ('geojson')) f(format)", "fx_pois", "fx_zones"))
 def tile_feature_count(spark, sf_dir):
-    return tiles.feature_counts(_low_tiles(spark, sf_dir))
+    """Features counted in the payloads of both formats."""
+    features = _low_tiles(spark, sf_dir)
+    return tiles.payload_counts(tiles.tile_mvt(features).unionByName(tiles.tile_geojson(features)))
 
 
 @query("h18_zoom_pyramid", fx.sql(
