@@ -3,14 +3,16 @@
 Every function takes and returns SQL expression strings, so one definition serves
 ``F.expr``/``selectExpr``, SQL functions and join conditions, and Catalyst sees nothing but
 built-in expressions.  A geometry is ``struct<kind, parts: array<array<struct<x, y>>>>``:
-points and lines hold one part, polygons the shell first and then their holes.
+points and lines hold one part, polygons the shell first and then their holes.  Multi-part kinds
+hold the parts of all members; the rings of a MULTIPOLYGON's shells turn one way, those of its
+holes the other, and every shell is followed by its holes.
 """
 
 from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.rules import EARTH_RADIUS_M
@@ -65,25 +67,41 @@ def box(x0: str, y0: str, x1: str, y1: str) -> str:
     return polygon(f"array({ring})")
 
 
+POLYGONAL, LINEAR = "('POLYGON', 'MULTIPOLYGON')", "('LINESTRING', 'MULTILINESTRING')"
+
+
 def parse_wkt(wkt: str) -> str:
-    """WKT text to geometry; text that is not a well-formed POINT, LINESTRING or POLYGON is NULL."""
+    """WKT text to geometry.
+
+    Points, lines, polygons and their multi-part kinds are read; further coordinates (Z, M) are left
+    out.  Empty shapes, collections and text that is not well-formed are NULL.
+    """
     p, c, r, q = _lambda(4)
-    kind = rf"upper(regexp_extract({wkt}, r'(?i)^\s*(POINT|LINESTRING|POLYGON)\s*\(', 1))"
+    kind = rf"upper(regexp_extract({wkt}, r'(?i)^\s*((MULTI)?(POINT|LINESTRING|POLYGON))\s*(ZM|Z|M)?\s*\(', 1))"
     body = rf"regexp_extract({wkt}, r'(?s)\((.*)\)\s*$', 1)"
 
     def rings(k: str) -> str:
         inner = rf"regexp_extract({body}, r'(?s)^\s*\((.*)\)\s*$', 1)"
-        return rf"split(CASE WHEN {k} = 'POLYGON' THEN {inner} ELSE {body} END, r'\)\s*,\s*\(')"
+        # Every member's shell gets a mark; the parentheses around members go.
+        members = rf"regexp_replace(regexp_replace({body}, r'\(\s*\(', '(#'), r'\)\s*\)', ')')"
+        rings_of_members = rf"regexp_extract({members}, r'(?s)^\s*\((.*)\)\s*$', 1)"
+        return (
+            f"CASE WHEN {k} IN ('POLYGON', 'MULTILINESTRING') THEN split({inner}, r'\\)\\s*,\\s*\\(') "
+            f"WHEN {k} = 'MULTIPOLYGON' THEN split({rings_of_members}, r'\\)\\s*,\\s*\\(') "
+            f"WHEN {k} = 'MULTIPOINT' THEN split(regexp_replace({body}, r'[()]', ''), ',') ELSE array({body}) END"
+        )
 
     coordinate = (
-        rf"get(transform(array(split({p}, r'\s+')), {c} -> CASE WHEN size({c}) = 2 THEN "
+        rf"get(transform(array(split({p}, r'\s+')), {c} -> CASE WHEN size({c}) BETWEEN 2 AND 4 THEN "
         f"named_struct('x', try_cast(get({c}, 0) AS DOUBLE), "
         f"'y', try_cast(get({c}, 1) AS DOUBLE)) END), 0)"
     )
 
     def parts(k: str) -> str:
-        split_points = rf"split(trim({r}), r'\s*,\s*')"
-        return f"transform({rings(k)}, {r} -> transform({split_points}, {p} -> {coordinate}))"
+        split_points = rf"split(trim(TRIM(LEADING '#' FROM {r})), r'\s*,\s*')"
+        points = f"transform({split_points}, {p} -> {coordinate})"
+        turned = let(points, lambda ring: f"CASE WHEN ({_signed_area(ring)} >= 0) = startswith({r}, '#') THEN {ring} ELSE reverse({ring}) END")
+        return f"transform({rings(k)}, {r} -> CASE WHEN {k} = 'MULTIPOLYGON' THEN {turned} ELSE {points} END)"
 
     def checked(k: str, ps: str) -> str:
         bad = (
@@ -93,6 +111,8 @@ def parse_wkt(wkt: str) -> str:
         shape = (
             f"CASE {k} WHEN 'POINT' THEN size({ps}) = 1 AND size({ps}[0]) = 1 "
             f"WHEN 'LINESTRING' THEN size({ps}) = 1 AND size({ps}[0]) >= 2 "
+            f"WHEN 'MULTIPOINT' THEN forall({ps}, {r} -> size({r}) = 1) "
+            f"WHEN 'MULTILINESTRING' THEN forall({ps}, {r} -> size({r}) >= 2) "
             f"ELSE forall({ps}, {r} -> size({r}) >= 4 AND {r}[0] = element_at({r}, -1)) END"
         )
         return (
@@ -114,10 +134,18 @@ def to_wkt(g: str) -> str:
     p, r = _lambda(2)
     ring = lambda pts: f"array_join(transform({pts}, {p} -> {_xy(p)}), ', ')"
     rings = f"array_join(transform({g}.parts, {r} -> concat('(', {ring(r)}, ')')), ', ')"
+    points = f"array_join(transform({g}.parts, {r} -> concat('(', {_xy(f'{r}[0]')}, ')')), ', ')"
+    members = (
+        f"array_join(transform({g}.parts, ({r}, i) -> concat(CASE WHEN i = 0 THEN '((' "
+        f"WHEN {is_shell(g, r, 'i')} THEN '), ((' ELSE ', (' END, {ring(r)}, ')')), '')"
+    )
     return (
         f"CASE {g}.kind WHEN 'POINT' THEN concat('POINT (', {_xy(f'{g}.parts[0][0]')}, ')') "
         f"WHEN 'LINESTRING' THEN concat('LINESTRING (', {ring(f'{g}.parts[0]')}, ')') "
-        f"WHEN 'POLYGON' THEN concat('POLYGON (', {rings}, ')') END"
+        f"WHEN 'POLYGON' THEN concat('POLYGON (', {rings}, ')') "
+        f"WHEN 'MULTIPOINT' THEN concat('MULTIPOINT (', {points}, ')') "
+        f"WHEN 'MULTILINESTRING' THEN concat('MULTILINESTRING (', {rings}, ')') "
+        f"WHEN 'MULTIPOLYGON' THEN concat('MULTIPOLYGON (', {members}, '))') END"
     )
 
 
@@ -168,7 +196,7 @@ def _sum(array: str, term) -> str:
     return f"aggregate(transform({array}, {e} -> {term(e)}), 0D, ({acc}, {v}) -> {acc} + {v})"
 
 
-def _ring_area(ring: str) -> str:
+def _signed_area(ring: str) -> str:
     """Shoelace around the first vertex, which keeps precision for small far-away rings."""
     p, q = _lambda(2)
     o = f"{ring}[0]"
@@ -179,7 +207,17 @@ def _ring_area(ring: str) -> str:
         f"zip_with(slice({ring}, 1, size({ring}) - 1), slice({ring}, 2, size({ring}) - 1), "
         f"({p}, {q}) -> {cross})"
     )
-    return f"abs({_sum(terms, lambda t: t)}) / 2"
+    return f"{_sum(terms, lambda t: t)} / 2"
+
+
+def _ring_area(ring: str) -> str:
+    return f"abs({_signed_area(ring)})"
+
+
+def is_shell(g: str, ring: str, index: str) -> str:
+    """The first ring is a shell; in a MULTIPOLYGON so is every ring that turns as it does."""
+    turns_alike = f"({_signed_area(ring)} >= 0) = ({_signed_area(f'{g}.parts[0]')} >= 0)"
+    return f"({index} = 0 OR ({g}.kind = 'MULTIPOLYGON' AND {turns_alike}))"
 
 
 def _ring_area_m2(ring: str) -> str:
@@ -200,10 +238,10 @@ def _polygon_sum(g: str, ring_measure) -> str:
     r, i = _lambda(2)
     signed = (
         f"transform({g}.parts, ({r}, {i}) -> "
-        f"CASE WHEN {i} = 0 THEN {ring_measure(r)} ELSE -({ring_measure(r)}) END)"
+        f"CASE WHEN {is_shell(g, r, i)} THEN {ring_measure(r)} ELSE -({ring_measure(r)}) END)"
     )
     total = _sum(signed, lambda t: t)
-    return f"CASE WHEN {g}.kind = 'POLYGON' THEN {total} WHEN {g}.kind IS NOT NULL THEN 0D END"
+    return f"CASE WHEN {g}.kind IN {POLYGONAL} THEN {total} WHEN {g}.kind IS NOT NULL THEN 0D END"
 
 
 def area(g: str) -> str:
@@ -311,11 +349,11 @@ def intersects(a: str, b: str, ba: str | None = None, bb: str | None = None) ->
     ``ba`` and ``bb`` name boxes already at hand (they may be larger than the geometry).  Only
     edges near the other geometry are compared with each other.
     """
-    s, t = _lambda(2)
+    s, t, r = _lambda(3)
 
     def body(ea: str, eb: str, x: str, y: str) -> str:
-        inside_b = f"({b}.kind = 'POLYGON' AND {_odd_crossings(f'{a}.parts[0][0]', eb)})"
-        inside_a = f"({a}.kind = 'POLYGON' AND {_odd_crossings(f'{b}.parts[0][0]', ea)})"
+        inside_b = f"({b}.kind IN {POLYGONAL} AND exists({a}.parts, {r} -> {_odd_crossings(f'{r}[0]', eb)}))"
+        inside_a = f"({a}.kind IN {POLYGONAL} AND exists({b}.parts, {r} -> {_odd_crossings(f'{r}[0]', ea)}))"
         touch = let(
             _edges_near(eb, x),
             lambda near: (
@@ -350,13 +388,13 @@ def within(a: str, b: str, ba: str | None = None, bb: str | None = None) -> str:
             lambda near: f"exists({ea}, {s} -> exists({near}, {t} -> {_segments_cross(s, t)}))",
         )
         hole_in_a = (
-            f"({a}.kind = 'POLYGON' AND exists(slice({b}.parts, 2, size({b}.parts)), {r} -> "
+            f"({a}.kind IN {POLYGONAL} AND exists({b}.parts, {r} -> "
             f"{_odd_crossings(f'{r}[0]', ea)} AND NOT {_on_edge(f'{r}[0]', ea)}))"
         )
         return let(
             where,
             lambda w: (
-                f"(array_min({w}) > 0 AND ({a}.kind = 'POLYGON' OR array_max({w}) = 2) "
+                f"(array_min({w}) > 0 AND ({a}.kind IN {POLYGONAL} OR array_max({w}) = 2) "
                 f"AND NOT {crossing} AND NOT {hole_in_a})"
             ),
         )
@@ -365,11 +403,11 @@ def within(a: str, b: str, ba: str | None = None, bb: str | None = None) -> str:
         end = lambda i: f"element_at({b}.parts[0], {i})"
         at_end = f"({a}.parts[0][0] = {end(1)} OR {a}.parts[0][0] = {end(-1)})"
         closed = f"{end(1)} = {end(-1)}"
-        probes = f"concat({a}.parts[0], transform({ea}, {s} -> {mid(s)}))"
-        return (
-            f"(forall({probes}, {p} -> {_on_edge(p, eb)}) "
-            f"AND ({a}.kind <> 'POINT' OR {closed} OR NOT {at_end}))"
-        )
+        return f"({on_lines(ea, eb)} AND ({a}.kind <> 'POINT' OR {closed} OR NOT {at_end}))"
+
+    def on_lines(ea: str, eb: str) -> str:
+        probes = f"concat(flatten({a}.parts), transform({ea}, {s} -> {mid(s)}))"
+        return f"forall({probes}, {p} -> {_on_edge(p, eb)})"
 
     def gated(x: str, y: str) -> str:
         inside = (
@@ -380,10 +418,12 @@ def within(a: str, b: str, ba: str | None = None, bb: str | None = None) -> str:
             lambda ea: let(
                 edges(b),
                 lambda eb: (
-                    f"CASE WHEN {b}.kind = 'POLYGON' THEN {in_polygon(ea, eb, x)} "
-                    f"WHEN {a}.kind = 'POLYGON' THEN false "
+                    f"CASE WHEN {b}.kind IN {POLYGONAL} THEN {in_polygon(ea, eb, x)} "
+                    f"WHEN {a}.kind IN {POLYGONAL} THEN false "
                     f"WHEN {b}.kind = 'LINESTRING' THEN {on_line(ea, eb)} "
-                    f"ELSE {a}.kind = 'POINT' AND {a}.parts[0][0] = {b}.parts[0][0] END"
+                    f"WHEN {b}.kind = 'MULTILINESTRING' THEN {on_lines(ea, eb)} "
+                    f"ELSE {a}.kind IN ('POINT', 'MULTIPOINT') AND forall({a}.parts, {r} -> "
+                    f"exists({b}.parts, {p} -> {p}[0] = {r}[0])) END"
                 ),
             ),
         )
@@ -427,8 +467,8 @@ def distance(a: str, b: str, ba: str | None = None, bb: str | None = None) -> st
         lambda ea: let(
             edges(b),
             lambda eb: (
-                f"CASE WHEN {a}.kind = 'POINT' THEN {nearest(vertices(a), eb)} "
-                f"WHEN {b}.kind = 'POINT' THEN {nearest(vertices(b), ea)} "
+                f"CASE WHEN {a}.kind IN ('POINT', 'MULTIPOINT') THEN {nearest(vertices(a), eb)} "
+                f"WHEN {b}.kind IN ('POINT', 'MULTIPOINT') THEN {nearest(vertices(b), ea)} "
                 f"ELSE least({nearest(vertices(a), eb)}, {nearest(vertices(b), ea)}) END"
             ),
         ),
@@ -442,12 +482,6 @@ def distance(a: str, b: str, ba: str | None = None, bb: str | None = None) -> st
     )
 
 
-def within_distance(a: str, b: str, d: str) -> str:
-    """The two come as close as ``d``; the join form of buffering one side."""
-    gate = let(bbox(a), lambda ba: let(bbox(b), lambda bb: bbox_overlap(ba, bb, d)))
-    return _flag(f"CASE WHEN {gate} THEN {distance(a, b)} <= {d} ELSE false END")
-
-
 def buffer_point(g: str, d: str, segments: int = 32) -> str:
     """Polygon around a point; other kinds have no polygon form here and give NULL."""
     i = _lambda()[0]
@@ -506,8 +540,8 @@ def is_valid(g: str) -> str:
         lambda es: f"size({es}) >= 3 AND {_ring_area(r)} > 0 AND {simple(es)}",
     )
     return _flag(
-        f"CASE {g}.kind WHEN 'POINT' THEN true "
-        f"WHEN 'LINESTRING' THEN exists({g}.parts[0], {p} -> {p} <> {g}.parts[0][0]) "
+        f"CASE WHEN {g}.kind IN ('POINT', 'MULTIPOINT') THEN true "
+        f"WHEN {g}.kind IN {LINEAR} THEN forall({g}.parts, {r} -> exists({r}, {p} -> {p} <> {r}[0])) "
         f"ELSE forall({g}.parts, {r} -> {ring_ok}) END"
     )
 
@@ -567,7 +601,3 @@ def wkt_contains(a: str, b: str) -> str:
 
 def wkt_buffer(wkt: str, d: str) -> str:
     return _on_wkt(wkt, lambda g: let(buffer_point(g, d), to_wkt))
-
-
-def column(text: str) -> Column:
-    return F.expr(text)

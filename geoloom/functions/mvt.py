@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Field keys and command ids of the public vector-tile 2.1 format.
-GEOM_TYPES = {"POINT": 1, "LINESTRING": 2, "POLYGON": 3}
+GEOM_TYPES = {"POINT": 1, "LINESTRING": 2, "POLYGON": 3, "MULTIPOINT": 1, "MULTILINESTRING": 2, "MULTIPOLYGON": 3}
 MOVE_TO, LINE_TO, CLOSE_PATH = 1, 2, 7
 
 
@@ -42,7 +42,7 @@ def _ring_turn(ring) -> int:
     return sum(ax * by - bx * ay for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]))
 
 
-def _commands(kind: str, parts) -> list[int]:
+def _commands(kind: str, parts, shells) -> list[int]:
     out, cx, cy = [], 0, 0
 
     def draw(command, points):
@@ -52,11 +52,15 @@ def _commands(kind: str, parts) -> list[int]:
             out.extend((_zigzag(x - cx), _zigzag(y - cy)))
             cx, cy = x, y
 
-    for index, part in enumerate(parts):
+    if kind == "MULTIPOINT":
+        draw(MOVE_TO, [p for part in parts for p in part])
+        return out
+    drawn = False  # whether the holes that follow have a shell
+    for part, is_shell in zip(parts, shells):
         points = [p for i, p in enumerate(part) if i == 0 or p != part[i - 1]]
         if kind == "POINT":
             draw(MOVE_TO, points[:1])
-        elif kind == "LINESTRING":
+        elif kind.endswith("LINESTRING"):
             if len(points) > 1:
                 draw(MOVE_TO, points[:1])
                 draw(LINE_TO, points[1:])
@@ -64,12 +68,12 @@ def _commands(kind: str, parts) -> list[int]:
             if points[0] == points[-1]:
                 points = points[:-1]
             turn = _ring_turn(points)
-            if len(points) < 3 or turn == 0:
-                if index == 0:
-                    return []
+            usable = len(points) >= 3 and turn != 0
+            drawn = usable if is_shell else drawn
+            if not usable or not drawn:
                 continue
             # Shells have a positive turn in tile space (y down), holes a negative one.
-            if (turn > 0) != (index == 0):
+            if (turn > 0) != is_shell:
                 points.reverse()
             draw(MOVE_TO, points[:1])
             draw(LINE_TO, points[1:])
@@ -99,12 +103,12 @@ CHUNK = T.StructType(
 TILE = T.StructType([T.StructField("data", T.BinaryType()), T.StructField("features", T.LongType())])
 
 
-def _chunk(ids, kinds, parts, properties) -> dict:
+def _chunk(ids, kinds, parts, shells, properties) -> dict:
     """Features without their framing; tags are pairs of places in the chunk's keys and values."""
     keys, values, known = {}, {}, {}
     out = {"ids": [], "tags": [], "bodies": []}
-    for feature_id, kind, rings, text in zip(ids, kinds, parts, properties):
-        commands = _commands(kind, rings)
+    for feature_id, kind, rings, outer, text in zip(ids, kinds, parts, shells, properties):
+        commands = _commands(kind, rings, outer)
         if not commands:
             continue
         tags = known.get(text)
@@ -142,10 +146,10 @@ def _layer(name: str, chunks, extent: int = 4096) -> tuple[bytes, int]:
 
 @F.arrow_udf(CHUNK)
 def encode_chunks(features: pa.Array) -> pa.Array:
-    """Chunks from arrays of (feature_id, kind, rings, xs, ys, properties); rings are end positions in xs."""
+    """Chunks from arrays of (feature_id, kind, rings, shells, xs, ys, properties); rings end at places in xs."""
     flat = features.flatten()
     field = {f.name: flat.field(f.name) for f in flat.type}
-    ids, kinds, texts = (field[c].to_pylist() for c in ("feature_id", "kind", "properties"))
+    ids, kinds, texts, shells = (field[c].to_pylist() for c in ("feature_id", "kind", "properties", "shells"))
     xs, ys = (field[c].flatten().to_pylist() for c in ("xs", "ys"))
     points = list(zip(xs, ys))
     first = field["xs"].offsets.to_numpy() - field["xs"].offsets.to_numpy()[0]
@@ -155,7 +159,7 @@ def encode_chunks(features: pa.Array) -> pa.Array:
     ]
     bounds = (features.offsets.to_numpy() - features.offsets.to_numpy()[0]).tolist() if len(features) else [0]
     chunks = [
-        _chunk(ids[a:b], kinds[a:b], parts[a:b], texts[a:b]) for a, b in zip(bounds[:-1], bounds[1:])
+        _chunk(ids[a:b], kinds[a:b], parts[a:b], shells[a:b], texts[a:b]) for a, b in zip(bounds[:-1], bounds[1:])
     ]
     return pa.array(chunks, _arrow(CHUNK))
 

@@ -62,7 +62,7 @@ def ring_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 @F.arrow_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
-def _part_weights(xs: pa.Array, ys: pa.Array) -> pa.Array:
+def part_weights(xs: pa.Array, ys: pa.Array) -> pa.Array:
     """Works on the flat coordinate buffers; the result reuses the input's list offsets."""
     rings = xs.values
     x = rings.values.to_numpy(zero_copy_only=False)
@@ -81,18 +81,18 @@ def weights_column(geom: str) -> Column:
     Points need no weights and send nothing to Python.
     """
     axis = lambda c: F.expr(
-        f"CASE WHEN {geom}.kind <> 'POINT' "
+        f"CASE WHEN {geom}.kind NOT LIKE '%POINT' "
         f"THEN transform({geom}.parts, r -> transform(r, p -> p.{c})) "
         "ELSE CAST(array() AS ARRAY<ARRAY<DOUBLE>>) END"
     )
-    return _part_weights(axis("x"), axis("y"))
+    return part_weights(axis("x"), axis("y"))
 
 
 def simplified(geom: str, weights: str, tolerance: str) -> str:
     """SQL text: the geometry with only the vertices whose weight exceeds the tolerance."""
     r, i, p, j = geo._lambda(4)
     return (
-        f"CASE WHEN {geom}.kind = 'POINT' THEN {geom} "
+        f"CASE WHEN {geom}.kind LIKE '%POINT' THEN {geom} "
         f"WHEN {geom} IS NOT NULL THEN named_struct('kind', {geom}.kind, 'parts', "
         f"transform({geom}.parts, ({r}, {i}) -> "
         f"filter({r}, ({p}, {j}) -> {weights}[{i}][{j}] > {tolerance}))) END"
@@ -103,6 +103,18 @@ def with_weights(df: DataFrame, geom: str = "geom", out: str = "weights") -> Dat
     return df.withColumn(out, weights_column(geom))
 
 
+def simplify_text(df: DataFrame, wkt: str, tolerance: str, out: str) -> DataFrame:
+    """WKT simplified in a new column; empty text is NULL, text that does not parse stays as it is."""
+    parsed = geo.once(df, _g=geo.parse_wkt(wkt))
+    weighed = with_weights(parsed, "_g", "_w")
+    shape = geo.let(simplified("_g", "_w", tolerance), geo.to_wkt)
+    usable = f"{tolerance} IS NOT NULL AND NOT isnan({tolerance})"
+    text = F.expr(f"nullif(CASE WHEN {usable} THEN coalesce({shape}, {wkt}) ELSE {wkt} END, '')")
+    return weighed.withColumn(out, text).drop("_g", "_w")
+
+
+# The same as one SQL function.  Spark does not hand the parsed geometry from built-in expressions to
+# a Python function inside one SQL function, so this one reads the text itself.
 @F.pandas_udf(T.StringType())
 def simplify_wkt(wkt: pd.Series, tolerance: pd.Series) -> pd.Series:
     """Simplify WKT text; text that does not parse comes back unchanged."""

@@ -123,7 +123,7 @@ def meets_box(g: str, b: str) -> str:
     e = _lambda()[0]
     corner = f"named_struct('x', {b}.x0, 'y', {b}.y0)"
     surrounds = lambda es: (
-        f"({g}.kind = 'POLYGON' AND {let(corner, lambda p: _odd_crossings(p, es))})"
+        f"({g}.kind IN ('POLYGON', 'MULTIPOLYGON') AND {let(corner, lambda p: _odd_crossings(p, es))})"
     )
     p = f"{g}.parts[0][0]"
     in_box = f"({p}.x BETWEEN {b}.x0 AND {b}.x1 AND {p}.y BETWEEN {b}.y0 AND {b}.y1)"

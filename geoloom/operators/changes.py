@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.operators import joins
 
@@ -11,21 +12,27 @@ from geoloom.operators import joins
 def apply_changes(current: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
     """Latest version per element; elements whose latest version is a deletion disappear.
 
-    ``changes`` has the columns of ``current`` plus ``deleted``.  The newest row is found by an
-    aggregate, so rows of one id are reduced before the shuffle.
+    ``changes`` has the columns of ``current`` plus ``deleted``.  A row without a version is older
+    than any with one; of equal versions a deletion wins, then the later timestamp, then the larger
+    row.  The newest row is found by an aggregate, so rows of one id are reduced before the shuffle.
     """
     columns = current.columns
     rest = [c for c in columns if c != key]
     versions = current.withColumn("deleted", F.lit(False)).unionByName(
         changes.select(*columns, "deleted")
     )
-    newest = versions.groupBy(key).agg(
-        F.max_by(F.struct("deleted", *rest), F.col("version")).alias("r")
-    )
+    plain = [f.name for f in current.schema.fields if f.name in rest and not _nested(f.dataType)]
+    ties = [c for c in ("timestamp",) if c in plain] + [c for c in plain if c not in ("version", "timestamp")]
+    order = F.struct(F.coalesce("version", F.lit(-1)).alias("v"), "deleted", *ties)
+    newest = versions.groupBy(key).agg(F.max_by(F.struct("deleted", *rest), order).alias("r"))
     alive = newest.filter(~F.col("r.deleted"))
     return alive.select(key, *[F.col(f"r.{c}").alias(c) for c in rest]).select(*columns)
 
 
+def _nested(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.MapType, T.ArrayType, T.StructType, T.VariantType))
+
+
 def conflate(
     left: DataFrame,
     right: DataFrame,
@@ -33,15 +40,19 @@ def conflate(
     max_name_distance: int,
     left_geom: str = "geometry_wkt",
     right_geom: str = "geometry_wkt",
+    max_name_share: float = 0.5,
 ) -> DataFrame:
     """Best partner in ``right`` (osm_id, name, geometry) for each left feature: near and alike.
 
+    Names are alike if at most ``max_name_distance`` letters and at most ``max_name_share`` of the
+    longer name differ.  Features without a name have nothing to be alike in and find no partner.
+
     Copies (same name and geometry) are matched once and share the result, so a place with very
     many copies does not pair all of them.  The best pair is an aggregate, not a window.
     """
 
     def groups(df: DataFrame, geom: str) -> DataFrame:
-        return df.groupBy(F.coalesce("name", F.lit("")).alias("name"), F.col(geom).alias("geom"))
+        return df.filter(F.col("name") != "").groupBy("name", F.col(geom).alias("geom"))
 
     pairs = joins.distance_join(
         groups(left, left_geom).agg(F.count(F.lit(1)).alias("copies")).drop("copies"),
@@ -51,14 +62,13 @@ def conflate(
         "geom",
     )
     alike = pairs.withColumn("name_distance", F.levenshtein("name", "name_right")).filter(
-        F.col("name_distance") <= max_name_distance
+        (F.col("name_distance") <= max_name_distance)
+        & (F.col("name_distance") <= max_name_share * F.greatest(F.length("name"), F.length("name_right")))
     )
     best = alike.groupBy("name", "geom").agg(
         F.min(F.struct("name_distance", "match_id")).alias("best")
     )
-    features = left.select(
-        "osm_id", F.coalesce("name", F.lit("")).alias("name"), F.col(left_geom).alias("geom")
-    )
+    features = left.select("osm_id", "name", F.col(left_geom).alias("geom"))
     return features.join(best, ["name", "geom"]).select(
         "osm_id", "best.match_id", "best.name_distance"
     )

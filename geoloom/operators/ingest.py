@@ -6,16 +6,22 @@ import logging
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom import schemas
+from geoloom import schemas, session
 from geoloom.operators import layers, validate
 from geoloom.sources import elements, sinks
 
 log = logging.getLogger(__name__)
 
 
+def _stored(df: DataFrame, kind: str) -> DataFrame:
+    path = session.new_path(df.sparkSession, f"ingest-{kind}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ingest(
     spark: SparkSession,
     source: str,
@@ -32,21 +38,17 @@ def ingest(
     error = None
     try:
         data = elements.extract(spark, source)
-        # Every layer reads the parsed elements; parse the file once.
-        kept = [df.persist() for df in (data.nodes, data.ways, data.relations)]
-        try:
-            if validate_data and not validate.is_valid_dataset(*kept):
-                raise ValueError("Data validation failed")
-            parsed = elements.Elements(*kept, data.metadata)
-            for name, layer in layers.ingest_layers(parsed).items():
+        # Every layer reads the parsed elements: parse once, into Parquet that all executors reach.
+        kept = [_stored(df, kind) for kind, df in zip(("nodes", "ways", "relations"), (data.nodes, data.ways, data.relations))]
+        if validate_data and not validate.is_valid_dataset(*kept):
+            raise ValueError("the elements did not pass validation")
+        parsed = elements.Elements(*kept, data.metadata)
+        for name, layer in layers.ingest_layers(parsed).items():
+            if not layer.isEmpty():
                 counts[name] = sinks.write_layer(layer, f"{destination}/{name}")
-            counts = {name: n for name, n in counts.items() if n}
-        finally:
-            for df in kept:
-                df.unpersist()
     except Exception as e:  # noqa: BLE001 - the contract is to report
         error = str(e)
-        log.error("Ingestion failed: %s", error)
+        log.error("ingest of %s: %s", source, error)
     ended = datetime.now(timezone.utc)
     stats = {
         "run_id": run_id,
@@ -64,5 +66,5 @@ def ingest(
         ).withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
         sinks.append_rows(runs, schemas.RUN, run_table)
     if error:
-        return {"success": False, "stats": stats, "message": f"Ingestion failed: {error}", "error": error}
-    return {"success": True, "stats": stats, "message": "Ingestion completed successfully"}
+        return {"success": False, "stats": stats, "message": f"not ingested: {error}", "error": error}
+    return {"success": True, "stats": stats, "message": f"ingested {stats['records_processed']} records"}

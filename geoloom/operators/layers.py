@@ -352,22 +352,28 @@ def buildings(ways: DataFrame, measure: str = "sphere") -> DataFrame:
 
 
 def spatial_partition(
-    df: DataFrame, geometry_column: str = "geometry_wkt", zoom: int = 10, partitions: int | None = None
+    df: DataFrame,
+    geometry_column: str = "geometry_wkt",
+    zoom: int = 10,
+    partitions: int | None = None,
+    id_column: str | None = None,
 ) -> DataFrame:
     """Range-partition rows along the Morton curve of the tile their first vertex lies in.
 
     Row groups then cover small areas, and range sampling keeps partitions even where the
-    data is dense.  A tie-break on the geometry text splits cells that are hot by themselves.
+    data is dense.  A tie-break on the geometry text and the id (``id_column``, by default the
+    column ``id`` or ``osm_id``) splits cells, equal geometries and rows without a geometry.
     Only the first coordinate is read, because sampling evaluates the key twice; derive
     geometry columns after this step.
     """
     first = lambda i: (
-        rf"try_cast(regexp_extract(`{geometry_column}`, r'\(\s*\(?\s*([^\s,()]+)\s+([^\s,()]+)', {i}) AS DOUBLE)"
+        rf"try_cast(regexp_extract(`{geometry_column}`, r'\([\s(]*([^\s,()]+)\s+([^\s,()]+)', {i}) AS DOUBLE)"
     )
     z = str(zoom)
     address = f"named_struct('x', {tilemath.tile_x(first(1), z)}, 'y', {tilemath.tile_y(first(2), z)})"
     cell = geo.let(address, lambda t: tilemath.morton(f"{t}.x", f"{t}.y", zoom))
-    order = [F.expr(cell), F.xxhash64(geometry_column)]
+    named = id_column or next((c for c in ("id", "osm_id") if c in df.columns), None)
+    order = [F.expr(cell), F.xxhash64(geometry_column), *([F.xxhash64(named)] if named else [])]
     ranged = (
         df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )
@@ -384,7 +390,7 @@ def process_layers(
     results = []
     for name in feature_types or list(LAYERS):
         if name not in LAYERS:
-            log.warning("Unknown feature type: %s", name)
+            log.warning("no layer is called %s", name)
             continue
         element, build = LAYERS[name]
         source = elements.scan(spark, input_path, element)

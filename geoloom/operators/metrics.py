@@ -7,6 +7,7 @@ from dataclasses import astuple, dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom import schemas
 
@@ -203,11 +204,13 @@ class AlertRule:
 
 
 def rules_frame(spark: SparkSession, rules: list[AlertRule]) -> DataFrame:
-    return spark.createDataFrame([astuple(r) for r in rules], schemas.ALERT_RULE)
+    """The rules with their number, which keeps two rules on one metric apart."""
+    schema = T.StructType([T.StructField("rule", T.IntegerType(), False), *schemas.ALERT_RULE.fields])
+    return spark.createDataFrame([(i, *astuple(r)) for i, r in enumerate(rules)], schema)
 
 
 def alerts(aggregates: DataFrame, rules: list[AlertRule], per_labels: bool = False) -> DataFrame:
-    """Critical alerts, one per metric and evaluation time.
+    """Critical alerts, one per rule and evaluation time; ``rule`` is the rule's place in the list.
 
     At every window end a metric's last k aggregates (label sets mixed unless ``per_labels``)
     must all violate the limit and lie within the evaluation period.  The look-back is bounded
@@ -226,8 +229,7 @@ def alerts(aggregates: DataFrame, rules: list[AlertRule], per_labels: bool = Fal
     )
     last = F.floor((F.col("_t") + F.col("evaluation_period")) / slice_seconds)
     sliced = judged.withColumn("_slice", F.explode(F.sequence("_own", last)))
-    rule_key = ["comparison_operator", "critical_threshold"]
-    parts = [*series, *rule_key, "_slice"]
+    parts = [*series, "rule", "_slice"]
     order = W.partitionBy(*parts).orderBy("_t", "label_key")
     longest = max(r.datapoints_to_alarm for r in rules)
     seen = order.rowsBetween(-(longest - 1), W.currentRow)
@@ -249,6 +251,7 @@ def alerts(aggregates: DataFrame, rules: list[AlertRule], per_labels: bool = Fal
             F.col("avg").alias("actual_value"),
             F.col("window_end").alias("timestamp"),
             "label_key",
+            "rule",
         )
     )
 

@@ -45,8 +45,12 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, key: str = "run_id") ->
 
 
 def upsert(existing: DataFrame, changes: DataFrame, now: Column, key: str = "run_id") -> DataFrame:
-    """Table after the update: changed columns win and ``updated_at`` is set on touched rows."""
+    """Table after the update: changed columns win and ``updated_at`` is set on touched rows.
+
+    Where the changes repeat a key the smallest row counts.
+    """
     changed = [c for c in changes.columns if c != key]
+    changes = changes.groupBy(key).agg(F.min(F.struct(*changed)).alias("_r")).select(key, "_r.*")
     joined = existing.alias("e").join(changes.alias("c").withColumn("_hit", F.lit(True)), key, "left")
     columns = []
     for c in existing.columns:

@@ -176,31 +176,35 @@ def write_layer(spark, sf_dir):
 
 
 @query("a9_load", fx.sql(
-    "select f.format, count(*) as n, sum(id) as id_sum from fx_pois, "
-    "(values ('csv'), ('geojson'), ('json'), ('parquet')) f(format) where amenity is not null group by f.format",
+    "select f.format, count(*) as n, sum(id) as id_sum, count(amenity) as n_amenity, count(name) as n_name, "
+    "count(*) filter (name = '') as n_empty from fx_pois, "
+    "(values ('csv'), ('geojson'), ('json'), ('parquet')) f(format) group by f.format",
     "fx_pois"))
 def load(spark, sf_dir):
-    """The same rows through every file format the loader routes to."""
-    base = fx.frame(spark, sf_dir, "fx_pois").filter("amenity IS NOT NULL").select("id", "amenity", "lon", "lat")
+    """The same rows, NULL and empty texts among them, through every file format the loader routes to."""
+    base = fx.frame(spark, sf_dir, "fx_pois").select("id", "amenity", "name", "lon", "lat")
     geom = base.withColumn("geom", F.expr(layers.geo.point("lon", "lat")))
     root = session.new_path(spark, "load")
     sinks.load(base, f"{root}/p.csv")
     sinks.load(base, f"{root}/p.json")
     sinks.load(geom, f"{root}/p.geojson")
     sinks.load(base, f"{root}/p")
-    schema = "id bigint, amenity string, lon double, lat double"
-    feature = "properties struct<id: bigint>"
+    schema = "id bigint, amenity string, name string, lon double, lat double"
+    feature = "properties struct<id: bigint, amenity: string, name: string>"
     read = {
-        "csv": spark.read.schema(schema).option("header", "true").csv(f"{root}/p.csv"),
+        "csv": spark.read.schema(schema).options(header="true", nullValue=sinks.CSV_NULL).csv(f"{root}/p.csv"),
         "json": spark.read.schema(schema).json(f"{root}/p.json"),
-        "geojson": spark.read.schema(feature).json(f"{root}/p.geojson").select("properties.id"),
+        "geojson": spark.read.schema(feature).json(f"{root}/p.geojson").select("properties.*"),
         "parquet": spark.read.schema(schema).parquet(f"{root}/p.parquet"),
     }
     rows = None
     for name, df in read.items():
-        df = df.select(F.lit(name).alias("format"), "id")
+        df = df.select(F.lit(name).alias("format"), "id", "amenity", "name")
         rows = df if rows is None else rows.unionByName(df)
-    return rows.groupBy("format").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"))
+    return rows.groupBy("format").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"), F.count("amenity").alias("n_amenity"),
+        F.count("name").alias("n_name"), F.count_if(F.col("name") == "").alias("n_empty"),
+    )
 
 
 @query("a12_export_metrics", fx.sql(

@@ -111,23 +111,32 @@ RULES = [
     metrics.AlertRule("error", 60.0, 50.0, "greater_than", 90000, 5),
     metrics.AlertRule("signup", 60.0, 50.0, "greater_than", 90000, 2),
 ]
-_RULE_VALUES = ", ".join(
-    f"('{r.metric_name}', {r.critical_threshold}::double, '{r.comparison_operator}', {r.evaluation_period}, {r.datapoints_to_alarm})"
-    for r in RULES
-)
+# Two rules on one metric, alike but for the period and the number of points.
+TWO_RULES = [
+    metrics.AlertRule("click", 40.0, 45.0, "greater_than", 21600, 2),
+    metrics.AlertRule("click", 40.0, 45.0, "greater_than", 90000, 4),
+    metrics.AlertRule("view", 55.0, 50.0, "less_than", 14400, 3),
+]
+
+
+def _rule_values(rules) -> str:
+    return ", ".join(
+        f"({i}::int, '{r.metric_name}', {r.critical_threshold}::double, '{r.comparison_operator}', {r.evaluation_period}, {r.datapoints_to_alarm})"
+        for i, r in enumerate(rules)
+    )
 
 
-def _alerts_sql(closed: bool = False) -> str:
+def _alerts_sql(closed: bool = False, rules=RULES) -> str:
     open_ = f" where window_end <= {_NOW} - interval '1 minute'" if closed else ""
     return (
-        f"with agg as (select * from ({_windows('1 hour')}) w{open_}), rules(name, limit_, op, period, k) as (values {_RULE_VALUES}), "
-        "judged as (select a.*, limit_, period, k, case op when 'greater_than' then avg > limit_ when 'less_than' then avg < limit_ else abs(avg - limit_) < 0.001 end as bad "
+        f"with agg as (select * from ({_windows('1 hour')}) w{open_}), rules(rule, name, limit_, op, period, k) as (values {_rule_values(rules)}), "
+        "judged as (select a.*, rule, limit_, period, k, case op when 'greater_than' then avg > limit_ when 'less_than' then avg < limit_ else abs(avg - limit_) < 0.001 end as bad "
         "from agg a join rules using (name)), "
-        "seen as (select *, list({'t': window_end, 'bad': bad}) over (partition by name order by window_end, label_key rows between unbounded preceding and current row) as h, "
-        "lead(window_end) over (partition by name order by window_end, label_key) as next_end from judged), "
+        "seen as (select *, list({'t': window_end, 'bad': bad}) over (partition by rule order by window_end, label_key rows between unbounded preceding and current row) as h, "
+        "lead(window_end) over (partition by rule order by window_end, label_key) as next_end from judged), "
         "cut as (select *, h[len(h) - k + 1 :] as tail from seen where len(h) >= k and (next_end is null or next_end > window_end)) "
         "select name as metric_name, 'critical' as threshold_type, limit_ as threshold_value, round(avg, 6) as actual_value, "
-        "strftime(window_end, '%Y-%m-%d %H:%M:%S') as timestamp, label_key from cut "
+        "strftime(window_end, '%Y-%m-%d %H:%M:%S') as timestamp, label_key, rule from cut "
         "where len(list_filter(tail, lambda e: not e.bad or e.t < window_end - to_seconds(period))) = 0"
     )
 
@@ -142,6 +151,13 @@ def alerts(spark, sf_dir):
     return _alert_columns(metrics.alerts(hourly, RULES))
 
 
+@query("i4_alerts_two_rules", fx.sql(_alerts_sql(rules=TWO_RULES), "fx_metrics"))
+def alerts_two_rules(spark, sf_dir):
+    """Rules on one metric are judged apart."""
+    hourly = metrics.metric_windows(fx.metric_samples(spark, sf_dir), "1 hour")
+    return _alert_columns(metrics.alerts(hourly, TWO_RULES))
+
+
 @query("i5_metric_summary", fx.sql(
     f"select name as metric_name, count(*) as data_points, round(arg_max(avg, (window_end, label_key)), 6) as latest_value, round(min(avg), 6) as min_value, "
     f"round(max(avg), 6) as max_value, round(avg(avg), 6) as avg_value, round(stddev_samp(avg), 6) as stddev, cast(48 as int) as time_range_hours "
@@ -188,9 +204,9 @@ def aggregate_retention(spark, sf_dir):
 
 
 @query("i8_recent_samples", fx.sql(
-    "select sample_id, name, round(value, 6) as value from fx_metrics order by ts desc, sample_id desc limit 10000", "fx_metrics"))
+    "select sample_id, name, round(value, 6) as value from fx_metrics order by ts desc, sample_id desc limit 500", "fx_metrics"))
 def recent_samples(spark, sf_dir):
-    return metrics.recent_samples(fx.metric_samples(spark, sf_dir)).select("sample_id", "name", F.round("value", 6).alias("value"))
+    return metrics.recent_samples(fx.metric_samples(spark, sf_dir), 500).select("sample_id", "name", F.round("value", 6).alias("value"))
 
 
 @query("i9_counter_totals", fx.sql(
@@ -250,7 +266,7 @@ def stream_alerts(spark, sf_dir):
     stream_metrics.write_windows(
         _event_stream(spark, sf_dir), path, checkpoint, "1 hour", rules=RULES, alerts_path=found
     ).awaitTermination()
-    schema = "metric_name string, threshold_type string, threshold_value double, actual_value double, timestamp timestamp, label_key string"
+    schema = "metric_name string, threshold_type string, threshold_value double, actual_value double, timestamp timestamp, label_key string, rule int"
     return _alert_columns(stream_metrics.read_windows(spark, found, schema))
 
 
@@ -319,8 +335,8 @@ def insert_ignore(spark, sf_dir):
     "select run_id, case when status = 'running' then 'completed' else status end as status, "
     "case when status = 'running' then '2030-01-01 00:00:00' else strftime(start_time, '%Y-%m-%d %H:%M:%S') end as updated_at from fx_runs", "fx_runs"))
 def touch_updated_at(spark, sf_dir):
-    """Running runs finish; only they get the new time."""
+    """Running runs finish, each told twice; only they get the new time."""
     runs = fx.frame(spark, sf_dir, "fx_runs").selectExpr("run_id", "status", "cast(start_time as timestamp) as updated_at")
-    done = runs.filter("status = 'running'").selectExpr("run_id", "'completed' as status")
+    done = runs.filter("status = 'running'").selectExpr("run_id", "explode(array('failed later', 'completed')) as status")
     out = retention.upsert(runs, done, F.lit("2030-01-01").cast("timestamp"))
     return out.select("run_id", "status", _stamp("updated_at"))

@@ -10,7 +10,7 @@ from geoloom.functions.sql import register
 from geoloom.operators import changes, joins, layers
 from geoloom.plans import fixtures as fx
 from geoloom.plans.layer_queries import AREA_M2, WEIGHTS, way_lengths
-from geoloom.plans.registry import query
+from geoloom.plans.registry import CHECKS, query
 
 _IDS = ["l_orderkey", "l_linenumber"]
 
@@ -61,7 +61,10 @@ _BDX, _BDY = "greatest(ax0 - bx1, 0, bx0 - ax1)", "greatest(ay0 - by1, 0, by0 -
 def calculate_distance(spark, sf_dir):
     df = _pairs(spark, sf_dir).withColumn("q", F.expr(geo.point("ax0", "ay0")))
     d = lambda x, y: F.round(F.expr(geo.distance(x, y)), 6)
-    return df.select(*_IDS, d("p", "q").alias("point_point"), d("p", "a").alias("point_box"), d("a", "b").alias("box_box"))
+    register(spark)
+    text = df.select(*_IDS, *[F.expr(geo.to_wkt(g)).alias(g) for g in ("p", "q", "a", "b")])
+    d = lambda x, y: F.round(F.expr(f"calculate_distance({x}, {y})"), 6)
+    return text.select(*_IDS, d("p", "q").alias("point_point"), d("p", "a").alias("point_box"), d("a", "b").alias("box_box"))
 
 
 _BOX_HIT = "(ax0 <= bx1 and bx0 <= ax1 and ay0 <= by1 and by0 <= ay1)"
@@ -72,8 +75,10 @@ _PT_HIT = "(px between ax0 and ax1 and py between ay0 and ay1)"
     f"select l_orderkey, l_linenumber, {_PT_HIT} as point_box, {_BOX_HIT} as box_box from fx_pairs", "fx_pairs"))
 def geometries_intersect(spark, sf_dir):
     df = _pairs(spark, sf_dir)
-    return df.select(
-        *_IDS, F.expr(geo.intersects("p", "a")).alias("point_box"), F.expr(geo.intersects("a", "b")).alias("box_box")
+    register(spark)
+    text = df.select(*_IDS, *[F.expr(geo.to_wkt(g)).alias(g) for g in ("p", "a", "b")])
+    return text.select(
+        *_IDS, F.expr("geometries_intersect(p, a)").alias("point_box"), F.expr("geometries_intersect(a, b)").alias("box_box")
     )
 
 
@@ -139,6 +144,23 @@ def simplify_geometry(spark, sf_dir):
     return weighed.select("id", *kept)
 
 
+@query("f8_simplify_geometry_sql", fx.sql(
+    f"with {WEIGHTS}, ranked as (select *, row_number() over (partition by id order by w desc, i) as best from weights) "
+    "select v.id, concat('LINESTRING (', string_agg(concat(lon, ' ', lat), ', ' order by v.i), ')') as simplified "
+    "from fx_ways f join fx_vertices v on v.id = f.id left join ranked r on r.id = v.id and r.i = v.i "
+    "where v.i = 0 or v.i = f.n - 1 or w > 0.02 or (ring and best <= 2) group by v.id", "fx_ways", "fx_vertices"))
+def simplify_geometry_sql(spark, sf_dir):
+    """The SQL function on text."""
+    register(spark)
+    return fx.ways(spark, sf_dir).select("id", F.expr("simplify_geometry(geometry, 0.02D)").alias("simplified"))
+
+
+@query("f8_simplify_geometry_text", CHECKS["f8_simplify_geometry_sql"])
+def simplify_geometry_text(spark, sf_dir):
+    """The same by parsed columns."""
+    return simplify.simplify_text(fx.ways(spark, sf_dir).select("id", "geometry"), "geometry", "0.02D", "simplified").drop("geometry")
+
+
 @query("f9_buffer_geometry", fx.sql(
     "select id, cast(33 as int) as n_points, round(16 * sin(2 * pi() / 32) * 0.25 * 1000, 4) as area_scaled, "
     "round(lon + 0.5, 6) as x_max, round(lat - 0.5, 6) as y_min from fx_pois", "fx_pois"))
@@ -267,17 +289,14 @@ def within_distance(spark, sf_dir):
 
 @query("g6_tile_candidates", fx.sql(
     "select id, cast(5 as int) as z, cast(floor((lon + 180) / 360 * 32) as int) as x, "
-    "cast(greatest(0, least(31, floor((1 - asinh(tan(radians(greatest(-85.05112878, least(85.05112878, lat))))) / pi()) / 2 * 32))) as int) as y from fx_pois",
-    "fx_pois"))
+    "cast(greatest(0, least(31, floor((1 - asinh(tan(radians(greatest(-85.05112878, least(85.05112878, lat))))) / pi()) / 2 * 32))) as int) as y from fx_pois "
+    "where lat between -85.0511287 and 85.0511287", "fx_pois"))
 def tile_candidates(spark, sf_dir):
     """Box candidates and exact test without a buffer: each point's own tile."""
     from geoloom.operators import tiles
 
     df = fx.frame(spark, sf_dir, "fx_pois").withColumn("geom", F.expr(geo.point("lon", "lat")))
     df = df.withColumns({"box": F.expr(geo.bbox("geom")), "z": F.lit(5)})
-    # A point beyond the square world lies in no tile's box; clamp it as the address does.
-    df = df.withColumn("lat_in", F.expr("greatest(-85.05112877D, least(85.05112877D, lat))"))
-    df = df.withColumn("geom", F.expr(geo.point("lon", "lat_in"))).withColumn("box", F.expr(geo.bbox("geom")))
     return tiles.cover(df, buffer=0).select("id", "z", "x", "y")
 
 
@@ -301,30 +320,36 @@ def spatial_partition(spark, sf_dir):
 
 
 @query("m1_apply_changes", fx.sql(
-    "select id, cast(case when id % 4 = 0 then 3 else 1 end as int) as version, "
+    "select id, cast(case when id % 4 = 0 then 3 when id % 5 = 0 then null else 1 end as int) as version, "
     "case when id % 4 = 0 then concat('new ', id) else nullif(name, '') end as name from fx_pois where id % 6 <> 5", "fx_pois"))
 def apply_changes(spark, sf_dir):
     """Every fourth element has two newer versions, every sixth a deletion."""
     t = layers.tag("name").alias("name")
-    current = fx.nodes(spark, sf_dir).select("id", "version", t)
+    # Every fifth element has no version, which is older than any; deletions win over equal versions.
+    current = fx.nodes(spark, sf_dir).select("id", F.expr("if(id % 5 = 0, null, version)").alias("version"), t)
     newer = current.selectExpr(
         "id", "version", "concat('new ', id) as name", "explode(array(2, 3)) as v"
     ).filter("id % 4 = 0").selectExpr("id", "v as version", "name", "false as deleted")
-    gone = current.filter("id % 6 = 5").selectExpr("id", "9 as version", "name", "true as deleted")
+    gone = current.filter("id % 6 = 5").selectExpr("id", "if(id % 4 = 0, 3, version) as version", "name", "true as deleted")
     return changes.apply_changes(current, newer.unionByName(gone))
 
 
 @query("m2_conflate", fx.sql(
     "select id as osm_id, id as match_id, cast(1 as int) as name_distance from fx_pois where coalesce(name, '') <> ''", "fx_pois"))
 def conflate(spark, sf_dir):
-    """A source against a copy moved by a little, with one letter more in the name."""
-    left = fx.frame(spark, sf_dir, "fx_pois").filter("coalesce(name, '') <> ''").selectExpr(
+    """A source against a copy moved by a little, with one letter more in the name.
+
+    Beside each copy lies a place of quite another, short name, and one without any.
+    """
+    left = fx.frame(spark, sf_dir, "fx_pois").selectExpr(
         "id as osm_id", "name", f"{geo.point_wkt('lon', 'lat')} as geometry_wkt"
     )
-    right = fx.frame(spark, sf_dir, "fx_pois").filter("coalesce(name, '') <> ''").selectExpr(
-        "id as osm_id", "concat(name, '+') as name", f"{geo.point_wkt('lon + 0.0001D', 'lat')} as geometry_wkt"
+    right = fx.frame(spark, sf_dir, "fx_pois").selectExpr(
+        "id as osm_id",
+        "explode(array(if(name <> '', concat(name, '+'), name), 'Zoo', '', null)) as name",
+        f"{geo.point_wkt('lon + 0.0001D', 'lat')} as geometry_wkt",
     )
-    return changes.conflate(left, right, 0.0002, 1)
+    return changes.conflate(left, right, 0.0002, 3)
 
 
 @query("m3_road_junctions", fx.sql(

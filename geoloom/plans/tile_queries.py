@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from geoloom import schemas, session
 from geoloom.functions import geometry as geo
 from geoloom.functions import mvt, tilemath
-from geoloom.operators import catalog, layers, tiles
+from geoloom.operators import catalog, joins, layers, tiles
 from geoloom.plans import fixtures as fx
 from geoloom.plans.layer_queries import CATEGORY, SCORE, WEIGHTS, WIDE, way_lengths
 from geoloom.plans.registry import query
@@ -459,3 +459,82 @@ def catalog_lookup_mvt(spark, sf_dir):
         F.lit(4).alias("z"), F.expr(f"({tilemath.tile_x('lon', '4')} + 1) % 16").alias("x"), F.expr(tilemath.tile_y("lat", "4")).alias("y")
     )
     return catalog.catalog_lookup(catalog_rows(spark, sf_dir), asked, "mvt")
+
+
+# --- multi-part geometries ------------------------------------------------------------------
+
+_DX = "case when x1 > 140 then -15 else 15 end"
+_TWINS = (
+    f"twins as (select id, x0, y0, x1, y1 from fx_zones union all select id, x0 + {_DX}, y0, x1 + {_DX}, y1 from fx_zones)"
+)
+
+
+def _twins(spark, sf_dir):
+    """Every zone together with a copy of it 15 degrees aside, as one MULTIPOLYGON."""
+    corner = lambda x, y: f"{x}, ' ', {y}"
+    ring = lambda a, b: f"concat('((', {', \', \', '.join([corner(a, 'y0'), corner(b, 'y0'), corner(b, 'y1'), corner(a, 'y1'), corner(a, 'y0')])}, '))')"
+    text = f"concat('MULTIPOLYGON (', {ring('x0', 'x1')}, ', ', {ring(f'(x0 + {_DX})', f'(x1 + {_DX})')}, ')')"
+    return fx.frame(spark, sf_dir, "fx_zones").selectExpr("id", f"{text} as geometry_wkt")
+
+
+@query("f0_multi", fx.sql("select id, cast(2 as bigint) as parts, true as same from fx_zones", "fx_zones"))
+def multi_text(spark, sf_dir):
+    """Read, written and read again."""
+    df = geo.once(_twins(spark, sf_dir), g=geo.parse_wkt("geometry_wkt"))
+    again = geo.once(df.withColumn("w", F.expr(geo.to_wkt("g"))), h=geo.parse_wkt("w"))
+    return again.select("id", F.expr("cast(size(g.parts) as bigint)").alias("parts"), F.expr("g = h").alias("same"))
+
+
+@query("f6_multi", fx.sql("select id, round(2 * (x1 - x0) * (y1 - y0), 6) as area, true as valid from fx_zones", "fx_zones"))
+def multi_area(spark, sf_dir):
+    df = _twins(spark, sf_dir)
+    return df.select("id", F.round(F.expr(geo.wkt_area("geometry_wkt")), 6).alias("area"), F.expr(geo.wkt_is_valid("geometry_wkt")).alias("valid"))
+
+
+@query("g2_multi", fx.sql(
+    f"with {_TWINS} select distinct p.id as poi_id, t.id as zone_id from fx_pois p join twins t on lon between x0 and x1 and lat between y0 and y1",
+    "fx_pois", "fx_zones"))
+def multi_join(spark, sf_dir):
+    """Points against two-part zones, each pair once."""
+    points = fx.frame(spark, sf_dir, "fx_pois").selectExpr("id as poi_id", f"{geo.point_wkt('lon', 'lat')} as geometry_wkt")
+    zones = _twins(spark, sf_dir).withColumnRenamed("id", "zone_id")
+    return joins.spatial_join(points, zones).select("poi_id", "zone_id")
+
+
+@query("f3_multi", fx.sql(
+    f"with {_TWINS}, hits as (select distinct a.id as left_id, b.id as right_id from twins a join twins b on a.id < b.id "
+    "and a.x0 <= b.x1 and b.x0 <= a.x1 and a.y0 <= b.y1 and b.y0 <= a.y1) select * from hits", "fx_zones"))
+def multi_intersects(spark, sf_dir):
+    zones = _twins(spark, sf_dir)
+    pairs = joins.spatial_join(zones.withColumnRenamed("id", "left_id"), zones.withColumnRenamed("id", "right_id"))
+    return pairs.filter("left_id < right_id").select("left_id", "right_id")
+
+
+@query("h7_multi", fx.sql(
+    f"with {_TWINS} select distinct z, x, y, id as feature_id from ({box_tiles('(4)', 'twins')}) t", "fx_zones"))
+def multi_tiles(spark, sf_dir):
+    """The tiles of both parts, each once."""
+    layer = tiles.Layer("twins", "fx_zones", 0, 8, "geometry_wkt", id_column="id")
+    return tiles.tile_features({"twins": _twins(spark, sf_dir)}, [layer], [4]).select("z", "x", "y", "feature_id")
+
+
+@query("h20_rejected", fx.sql(
+    "select case when id % 4 = 0 then 'empty geometry' when id % 4 = 1 then 'no geometry' else 'unreadable geometry' end as reject_reason, count(*) as n "
+    "from fx_zones where id % 4 < 3 group by 1", "fx_zones"))
+def rejected_sources(spark, sf_dir):
+    """What a layer cannot use is reported with its reason."""
+    broken = F.expr("CASE id % 4 WHEN 0 THEN 'POLYGON EMPTY' WHEN 1 THEN '' WHEN 2 THEN 'POLYGON ((1 1' ELSE geometry_wkt END")
+    layer = tiles.Layer("twins", "fx_zones", 0, 8, "geometry_wkt", id_column="id")
+    out = tiles.rejected(_twins(spark, sf_dir).withColumn("geometry_wkt", broken), layer)
+    return out.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("c6_validate_tileset", fx.sql(
+    "select 'layer lakes has no source' as warning union all "
+    "select 'layer pois has an empty source' from fx_pois having count(*) filter (amenity = 'nowhere') = 0", "fx_pois"))
+def validate_tileset(spark, sf_dir):
+    """Warnings about layers without a source or without rows."""
+    nowhere = _pois(spark, sf_dir).filter("amenity = 'nowhere'")
+    sources = {**_sources(spark, sf_dir), "pois": nowhere}
+    warnings = tiles.validate_tileset(sources, [POIS, ZONES, tiles.Layer("lakes", "l", 0, 5)], [0, 4])
+    return spark.createDataFrame([(w,) for w in sorted(warnings)], "warning string")

@@ -154,19 +154,19 @@ def detect_format(path: str) -> str:
     if name.endswith((".osm.gz", ".xml.gz")):
         return "xml.gz"
     if name.endswith(".gz"):
-        raise ValueError(f"Unsupported compressed file format: {path}")
+        raise ValueError(f"only XML is read from gzip files, not {path}")
     if name.endswith((".osm", ".xml")):
         return "xml"
     if name.endswith(".pbf"):
-        raise ValueError(f"Convert PBF to XML or Parquet first: {path}")
-    raise ValueError(f"Unsupported element file format: {path}")
+        raise ValueError(f"PBF is not read, convert it to XML or Parquet: {path}")
+    raise ValueError(f"neither XML nor Parquet: {path}")
 
 
 def _must_exist(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.globStatus(jvm_path):
-        raise FileNotFoundError(f"Element file not found: {path}")
+        raise FileNotFoundError(f"{path} was not found")
 
 
 def extract(spark: SparkSession, path: str) -> Elements:
@@ -197,12 +197,3 @@ def read_sources(spark: SparkSession, sources: list[dict], element: str) -> Data
         )
         out = df if out is None else out.unionByName(df)
     return out
-
-
-def union_sources(frames: dict[str, tuple[DataFrame, int]]) -> DataFrame:
-    """The same for frames already at hand: name -> (rows, priority)."""
-    out = None
-    for name, (df, priority) in frames.items():
-        df = df.withColumn("source", F.lit(name)).withColumn("priority", F.lit(priority))
-        out = df if out is None else out.unionByName(df)
-    return out

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from geoloom.functions import geometry as geo
 
 
+CSV_NULL = "\\N"
+
+
 def write_layer(df: DataFrame, path: str) -> int:
     """Overwrite a Parquet layer; the row count is observed during the one write."""
     seen = Observation()
@@ -24,11 +27,20 @@ def geojson_geometry(geom: str = "geom") -> Column:
     ring = lambda pts: f"concat('[', array_join(transform({pts}, {p} -> {xy}), ','), ']')"
     rings = f"concat('[', array_join(transform({geom}.parts, {r} -> {ring(r)}), ','), ']')"
     first = f"get(transform(array({geom}.parts[0][0]), {p} -> {xy}), 0)"
+    shape = lambda name, text: f"concat('{{\"type\":\"{name}\",\"coordinates\":', {text}, '}}') "
+    points = f"concat('[', array_join(transform({geom}.parts, {r} -> get(transform(array({r}[0]), {p} -> {xy}), 0)), ','), ']')"
+    grouped = (
+        f"concat('[', array_join(transform({geom}.parts, ({r}, i) -> concat(CASE WHEN i = 0 THEN '[' "
+        f"WHEN {geo.is_shell(geom, r, 'i')} THEN '],[' ELSE ',' END, {ring(r)})), ''), ']]')"
+    )
     return F.expr(
         f"CASE {geom}.kind WHEN 'POINT' THEN concat('{{\"type\":\"Point\",\"coordinates\":', {first}, '}}') "
         f"WHEN 'LINESTRING' THEN concat('{{\"type\":\"LineString\",\"coordinates\":', "
         f"{ring(f'{geom}.parts[0]')}, '}}') "
-        f"WHEN 'POLYGON' THEN concat('{{\"type\":\"Polygon\",\"coordinates\":', {rings}, '}}') END"
+        f"WHEN 'POLYGON' THEN concat('{{\"type\":\"Polygon\",\"coordinates\":', {rings}, '}}') "
+        f"WHEN 'MULTIPOINT' THEN {shape('MultiPoint', points)}"
+        f"WHEN 'MULTILINESTRING' THEN {shape('MultiLineString', rings)}"
+        f"WHEN 'MULTIPOLYGON' THEN {shape('MultiPolygon', grouped)}END"
     )
 
 
@@ -57,7 +69,8 @@ def load(df: DataFrame, destination: str, jdbc: dict | None = None) -> bool:
     if lower.startswith(("s3://", "s3a://")):
         df.write.mode("overwrite").parquet(target)
     elif lower.endswith(".csv"):
-        df.write.mode("overwrite").option("header", "true").csv(target)
+        # NULL has a mark of its own, or it could not be told from the empty text.
+        df.write.mode("overwrite").options(header="true", nullValue=CSV_NULL).csv(target)
     elif lower.endswith((".geojson", ".json")) and "geom" in df.columns:
         geojson_features(df).write.mode("overwrite").text(target)
     elif lower.endswith((".geojson", ".json")):

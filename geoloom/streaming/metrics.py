@@ -8,13 +8,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from geoloom.operators import metrics
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 COUNTS = [*metrics.GROUP, "value"]
 
 
 def value_counts(stream: DataFrame, duration: str, lateness: str) -> DataFrame:
     """How often each value occurs per window, metric and label set; late rows are dropped.
 
-    State is one counter per distinct value.  A window's counters all leave in the micro-batch
+    State is one counter per distinct value, so for real-valued metrics about one row per sample
+    of the open windows: ``write_windows`` keeps it in RocksDB.  A window's counters all leave in the micro-batch
     that closes it, which is what lets the batch operator finish the statistics exactly.
     """
     w = F.window("timestamp", duration)
@@ -58,11 +62,16 @@ def write_windows(
 
     def finish(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
-        finish_windows(batch).write.mode("overwrite").parquet(target)
+        batch.persist()  # several branches read it, and it comes out of the state store
+        try:
+            finish_windows(batch).write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
         if rules:
             fresh = batch.sparkSession.read.parquet(target)
             _raise_alerts(fresh, rules, alerts_path, batch_id)
 
+    stream.sparkSession.conf.set(STATE_STORE, ROCKSDB)
     writer = (
         value_counts(stream, duration, lateness)
         .writeStream.outputMode("append")

@@ -28,7 +28,17 @@ def value(spark, text, **columns):
         ("POLYGON ((0 0, 4 0, 0 0))", None),
         ("LINESTRING (0 0)", None),
         ("LINESTRING (0 0, x 1)", None),
-        ("POINT (1 2 3)", None),
+        ("POINT Z (1 2 3)", "POINT (1.0 2.0)"),
+        ("LINESTRING ZM (1 2 3 4, 5 6 7 8)", "LINESTRING (1.0 2.0, 5.0 6.0)"),
+        ("MULTIPOINT (1 2, 3 4)", "MULTIPOINT ((1.0 2.0), (3.0 4.0))"),
+        ("MULTIPOINT ((1 2), (3 4))", "MULTIPOINT ((1.0 2.0), (3.0 4.0))"),
+        ("multilinestring ((0 0, 1 1), (2 2, 3 3, 4 4))", "MULTILINESTRING ((0.0 0.0, 1.0 1.0), (2.0 2.0, 3.0 3.0, 4.0 4.0))"),
+        ("MULTIPOLYGON (((0 0, 9 0, 9 9, 0 0), (3 1, 4 1, 4 2, 3 1)), ((20 0, 21 0, 21 1, 20 0)))",
+         "MULTIPOLYGON (((0.0 0.0, 9.0 0.0, 9.0 9.0, 0.0 0.0), (3.0 1.0, 4.0 2.0, 4.0 1.0, 3.0 1.0)), ((20.0 0.0, 21.0 0.0, 21.0 1.0, 20.0 0.0)))"),
+        ("MULTILINESTRING ((0 0), (2 2, 3 3))", None),
+        ("POINT (1 2 3 4 5)", None),
+        ("POLYGON EMPTY", None),
+        ("GEOMETRYCOLLECTION (POINT (1 1))", None),
         ("POINT (nan 2)", None),
         ("BROKEN", None),
         ("", None),
@@ -196,11 +206,12 @@ def test_simplify_matches_recursive_definition(spark):
         df = spark.createDataFrame([(i, wkt(p), tol) for i, p in enumerate(open_lines)], "i int, w string, t double")
         df = df.withColumn("g", F.expr(geo.parse_wkt("w")))
         df = simplify.with_weights(df, "g", "k").withColumn("s", F.expr(geo.let(simplify.simplified("g", "k", "t"), geo.to_wkt)))
-        df = df.withColumn("u", simplify.simplify_wkt("w", "t"))
+        register(spark)
+        df = simplify.simplify_text(df.withColumn("u", F.expr("simplify_geometry(w, t)")), "w", "t", "x")
         for row in df.collect():
             want = wkt(_douglas_peucker(open_lines[row["i"]], tol))
             assert row["s"] == want
-            assert row["u"] == want
+            assert row["u"] == row["x"] == want
 
 
 def test_simplify_keeps_rings(spark):
@@ -242,3 +253,23 @@ def test_morton_orders_quadrants(spark):
     df = spark.sql("SELECT explode(array((0, 0), (1, 0), (0, 1), (1, 1), (2, 0))) AS t")
     keys = [r[0] for r in df.select(F.expr(tilemath.morton("t.col1", "t.col2", 3))).collect()]
     assert keys == [0, 1, 2, 3, 4]
+
+
+DONUTS = "MULTIPOLYGON (((0 0, 10 0, 10 10, 0 10, 0 0), (2 2, 2 4, 4 4, 4 2, 2 2)), ((20 0, 20 5, 25 5, 25 0, 20 0)))"
+
+
+def test_multi_part_measures_and_predicates(spark):
+    assert value(spark, geo.wkt_area("w"), w=DONUTS) == pytest.approx(100 - 4 + 25)
+    assert value(spark, geo.wkt_length("w"), w="MULTILINESTRING ((0 0, 3 4), (0 0, 0 2))") == pytest.approx(7)
+    assert value(spark, geo.wkt_is_valid("w"), w=DONUTS)
+    tests = [
+        ("POINT (22 1)", True, True), ("POINT (3 3)", False, False), ("POINT (15 1)", False, False),
+        ("MULTIPOINT ((1 1), (22 1))", True, True), ("MULTIPOINT ((1 1), (15 1))", True, False),
+        ("LINESTRING (5 1, 22 1)", True, False), ("POLYGON ((21 1, 22 1, 22 2, 21 2, 21 1))", True, True),
+        ("MULTIPOLYGON (((100 100, 101 100, 101 101, 100 100)), ((-5 -5, 30 -5, 30 30, -5 30, -5 -5)))", True, False),
+    ]
+    for wkt, meets, inside in tests:
+        assert value(spark, geo.wkt_intersects("w", "v"), w=wkt, v=DONUTS) is meets, wkt
+        assert value(spark, geo.wkt_intersects("v", "w"), w=wkt, v=DONUTS) is meets, wkt
+        assert value(spark, geo.wkt_within("w", "v"), w=wkt, v=DONUTS) is inside, wkt
+    assert value(spark, geo.wkt_distance("w", "v"), w="MULTIPOINT ((15 1), (40 1))", v=DONUTS) == pytest.approx(5)

@@ -96,6 +96,16 @@ def test_broadcast_needs_a_small_side(spark):
     assert not joins.small_enough(df, size=10)
 
 
+def test_what_is_broadcast_is_measured(spark, monkeypatch):
+    """A right side that is small as it comes and large as it is filed under its cells is shuffled."""
+    left = spark.createDataFrame([(1, "POLYGON ((0 0, 100 0, 100 60, 0 60, 0 0))"), (2, "POINT (1 1)")], "a int, geometry_wkt string")
+    right = spark.range(40).selectExpr("id as b", "concat('POINT (', id, ' ', id, ')') as geometry_wkt")
+    monkeypatch.setattr(joins.small_enough, "__defaults__", (45, joins.BROADCAST_BYTES))
+    assert joins.small_enough(right)
+    plan = joins.spatial_join(left, right, broadcast_right=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan
+
+
 def test_conflate_takes_the_nearest_name(spark):
     a = spark.createDataFrame([(1, "Cafe Rio", "POINT (0 0)"), (2, "Bank", "POINT (5 5)")], "osm_id int, name string, geometry_wkt string")
     b = spark.createDataFrame([(7, "Café Rio", "POINT (0 0.001)"), (8, "Cafe Rino", "POINT (0.001 0)"), (9, "Cafe Rio", "POINT (1 1)"), (10, "Bar", "POINT (5 5)")],
