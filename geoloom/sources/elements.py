@@ -135,13 +135,36 @@ _XML = {
 }
 
 
+# Attributes up to the end of an opening tag, and whether the tag closes itself.
+_OPENING = r"""^((?:[^<>"'/]++|/(?!>)|"[^"]*+"|'[^']*+')*+)(/?)>"""
+
+
 def read_xml_raw(spark: SparkSession, path: str, element: str) -> DataFrame:
+    """Elements of XML files as rows of text.
+
+    Uncompressed files are read in splits: the opening of the element separates records, and each is cut
+    at its own end.  Only a file that has elements inside comments goes through Spark's XML source, which
+    reads a file in one task, and so do gzip files, whose rows are spread right behind that task.
+    """
     schema, _ = _XML[element]
-    raw = spark.read.format("xml").option("rowTag", element).schema(schema).load(path)
+    whole = spark.read.format("xml").option("rowTag", element).schema(schema)
     if path.lower().endswith(".gz"):
-        # gzip cannot be split: spread the rows once, right behind the one reading task.
-        raw = raw.repartition(spark.sparkContext.defaultParallelism)
-    return raw
+        return whole.load(path).repartition(spark.sparkContext.defaultParallelism)
+    pieces = spark.read.option("lineSep", f"<{element}").text(path)
+    rest = F.substring_index("value", "<!--", -1)
+    hidden = F.col("value").contains("<!--") & ~rest.contains("-->")
+    if not pieces.filter(hidden).isEmpty():
+        return whole.load(path)
+    end = f"</{element}>"
+    inner = F.substring_index("value", end, 1)
+    record = F.when(
+        F.regexp_extract("value", _OPENING, 2) == "/",
+        F.concat(F.lit(f"<{element}"), F.regexp_extract("value", _OPENING, 1), F.lit("/>")),
+    ).when(F.col("value").contains(end), F.concat(F.lit(f"<{element}"), inner, F.lit(end)))
+    # What precedes the first element, and elements whose name only begins alike, do not match.
+    named = F.col("value").rlike(r"^[\s/>]") & F.col("value").rlike(_OPENING)
+    records = pieces.filter(named).select(record.alias("record")).filter("record IS NOT NULL")
+    return records.select(F.from_xml("record", schema).alias("e")).select("e.*")
 
 
 def read_xml(spark: SparkSession, path: str, element: str) -> DataFrame:

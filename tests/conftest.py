@@ -29,8 +29,8 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sample_nodes(spark):
     rows = [
-        (1, 37.7749, -122.4194, {"amenity": "restaurant", "name": "Test Restaurant"}, 1, None),
-        (2, 37.7849, -122.4094, {"shop": "supermarket", "name": "Test Market"}, 1, None),
+        (1, 48.5, 12.25, {"amenity": "hospital", "name": "Hill Clinic"}, 3, None),
+        (2, -3.5, 7.75, {"shop": "bakery", "name": "Corner Bread"}, 1, None),
     ]
     return spark.createDataFrame(rows, _schema("NODE"))
 
@@ -38,16 +38,16 @@ def sample_nodes(spark):
 @pytest.fixture(scope="session")
 def sample_ways(spark):
     rows = [
-        (100, [1, 2, 3, 4], {"highway": "primary", "name": "Test Street"}, None, 1, None),
-        (101, [5, 6, 7, 8, 5], {"building": "yes"}, None, 1, None),
+        (31, [1, 2, 3, 4], {"highway": "tertiary", "name": "Mill Lane"}, None, 2, None),
+        (32, [5, 6, 7, 8, 5], {"building": "house"}, None, 1, None),
     ]
     return spark.createDataFrame(rows, _schema("WAY"))
 
 
 @pytest.fixture(scope="session")
 def sample_relations(spark):
-    members = [("way", 100, "outer"), ("way", 101, "inner")]
-    rows = [(200, members, {"type": "multipolygon", "landuse": "residential"}, 1, None)]
+    members = [("way", 32, "outer"), ("way", 31, "")]
+    rows = [(9, members, {"type": "multipolygon", "natural": "water"}, 4, None)]
     return spark.createDataFrame(rows, _schema("RELATION"))
 
 

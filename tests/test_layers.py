@@ -26,8 +26,8 @@ GRID = [(i, float(i), float(i) / 2, {}) for i in range(1, 9)]
 
 def test_strict_pois(sample_nodes):
     rows = {r["osm_id"]: r for r in layers.poi_nodes(sample_nodes).collect()}
-    assert rows[1]["poi_type"] == "amenity:restaurant" and rows[1]["name"] == "Test Restaurant"
-    assert rows[2]["poi_type"] == "shop:supermarket"
+    assert rows[1]["poi_type"] == "amenity:hospital" and rows[1]["name"] == "Hill Clinic"
+    assert rows[2]["poi_type"] == "shop:bakery"
 
 
 def test_node_without_coordinates_is_skipped(spark):
@@ -83,7 +83,7 @@ def test_tag_edge_cases(spark):
 def test_closed_building_way(spark, sample_ways):
     square = nodes(spark, [(5, 0.0, 0.0, {}), (6, 0.0, 2.0, {}), (7, 3.0, 2.0, {}), (8, 3.0, 0.0, {})])
     rows = layers.building_ways(sample_ways, square).select("osm_id", F.expr(geo.area("geom")).alias("a")).collect()
-    assert [tuple(r) for r in rows] == [(101, 6.0)]
+    assert [tuple(r) for r in rows] == [(32, 6.0)]
 
 
 def test_admin_boundary_with_hole_and_two_shells(spark):
@@ -127,8 +127,8 @@ def test_planar_measures_are_available(spark, sample_ways):
 
 
 XML = """<?xml version="1.0"?><osm version="0.6">
-<node id="1" lat="37.7749" lon="-122.4194" version="1" timestamp="2024-01-01T00:00:00Z"><tag k="amenity" v="restaurant"/><tag k="name" v="A &amp; B"/><tag k="" v="x"/></node>
-<node id="2" lat="37.7849" lon="-122.4094" version="1" timestamp="2024-01-01T00:00:00Z"/>
+<node id="1" lat="48.5" lon="12.25" version="1" timestamp="2021-06-05T04:03:02Z"><tag k="amenity" v="restaurant"/><tag k="name" v="A &amp; B"/><tag k="" v="x"/></node>
+<node id="2" lat="-3.5" lon="7.75" version="1" timestamp="2021-06-05T04:03:02Z"/>
 <node id="x" lat="1" lon="1"/><node id="4" lat="bad" lon="1"/>
 <way id="100" version="1"><nd ref="1"/><nd ref=""/><nd ref="2"/><tag k="highway" v="primary"/><tag k="highway" v="trunk"/></way>
 <relation id="200"><member type="way" ref="100" role="outer"/><member type="way" ref="100"/><member ref="1"/></relation>
@@ -210,3 +210,30 @@ def test_changes_upserts_and_retention(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_one_xml_file_is_read_in_splits(spark, tmp_path):
+    path = tmp_path / "one.osm"
+    nodes = "".join(f'<node id="{i}" lat="1.5" lon="{i % 90}" version="1"/>\n' for i in range(2000))
+    ways = "".join(
+        f'<way id="{i}" note="a > b / c"><nd ref="1"/><nd ref="{i}"/><tag k="name" v="W &amp; {i}"/></way>' if i % 3 else f"<way id='{i}'/>"
+        for i in range(900))
+    path.write_text(f'<?xml version="1.0"?>\n<osm><!-- made up --><bounds minlat="0"/>{nodes}{ways}<wayside id="1"/></osm>')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        raw = elements.read_xml_raw(spark, str(path), "way")
+        assert raw.rdd.getNumPartitions() > 1
+        got = {r["id"]: (r["nodes"], r["tags"]) for r in elements.read_xml(spark, str(path), "way").collect()}
+        assert got == {i: ([1, i], {"name": f"W & {i}"}) if i % 3 else ([], {}) for i in range(900)}
+        assert elements.accepted(elements.read_xml(spark, str(path), "node")).count() == 2000
+        path.write_text('<osm><!-- <way id="5"/> --><way id="6"/></osm>')
+        assert [r["id"] for r in elements.read_xml(spark, str(path), "way").collect()] == [6]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rows_without_geometry_are_spread(spark):
+    rows = spark.range(4000).selectExpr("id", "if(id % 4 = 0, concat('LINESTRING (', id % 90, ' 1, 2 2)'), null) as geometry")
+    parts = layers.spatial_partition(rows, "geometry", partitions=8).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in parts) < 1200
