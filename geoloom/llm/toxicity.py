@@ -2,8 +2,8 @@
 
 Features are the hashed character (byte) n-grams that a text has, each scaled by the log ratio of how often
 documents of either class have it; a logistic regression is fitted on the scaled features. Features whose
-ratio is within ``SIGMAS`` standard errors of zero are left out, so words that both classes use weigh
-nothing however long the text.
+ratio is within ``SIGMAS`` standard errors of zero are left out, and of the others the ``FEATURES`` farthest
+from it are used, so words that both classes use weigh nothing however long the text.
 
 Counting runs on Spark over the labelled rows: per task into two arrays, then summed per bucket. The rows
 are at most ``PER_CLASS`` of each class, taken in the order of a hash of the id; the intercept is then moved
@@ -31,13 +31,15 @@ BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (4, 5, 6)
 #: Bound of the sample of labelled rows, of each class.
-PER_CLASS = 20_000
+PER_CLASS = 8_000
 SIGMAS = 3.0
+#: Most features of a model; those farthest from chance are used.
+FEATURES = 2048
 LEAST_DOCUMENTS = 5
 SMOOTHING = 1.0
 RIDGE = 1e-4
-STEPS = 500
-PIECE_BYTES = 1 << 20
+STEPS = 400
+PIECE_BYTES = 1 << 18
 
 
 class Model(NamedTuple):
@@ -112,8 +114,12 @@ def _ratios(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
     share = smooth / (documents[:, None] + 2 * SMOOTHING)
     ratio = np.log(share[1] / share[0])
     error = np.sqrt(1 / smooth[0] + 1 / smooth[1])
-    sure = (np.abs(ratio) > SIGMAS * error) & (counts.sum(axis=0) >= LEAST_DOCUMENTS)
-    return np.where(sure, ratio, 0.0)
+    sigmas = np.where(counts.sum(axis=0) >= LEAST_DOCUMENTS, np.abs(ratio) / error, 0.0)
+    chosen = np.argsort(-sigmas, kind="stable")[:FEATURES]
+    chosen = chosen[sigmas[chosen] > SIGMAS]
+    ratios = np.zeros(len(ratio))
+    ratios[chosen] = ratio[chosen]
+    return ratios
 
 
 def _fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndarray, width: int) -> tuple[np.ndarray, float]:
@@ -121,8 +127,14 @@ def _fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndar
     n = len(label)
     weight, bias = np.zeros(width), 0.0
     seen_w, seen_b, momentum = weight.copy(), bias, 1.0
-    norms = np.bincount(row, value**2, minlength=n)
-    rate = 4.0 / (norms.max(initial=0.0) + 1.0)
+    # The largest eigenvalue of the squared features, by a few power steps, bounds the curvature.
+    direction, largest = np.ones(width + 1), 1.0
+    for _ in range(20):
+        direction /= np.linalg.norm(direction)
+        image = np.bincount(row, value * direction[feature], minlength=n) + direction[-1]
+        direction = np.append(np.bincount(feature, value * image[row], minlength=width), image.sum())
+        largest = np.linalg.norm(direction)
+    rate = 1.0 / (1.1 * largest / (4 * n) + RIDGE)
     for _ in range(STEPS):
         margin = np.bincount(row, value * seen_w[feature], minlength=n) + seen_b
         error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label
