@@ -9,7 +9,8 @@ DataFrame expressions only. Positions come from splitting the text at the matche
 all pieces and matches before it. Lengths are in code points.
 
 Defined cases: a null text is the empty text; the empty text has no findings; repeated rows get the
-blob's findings each; an empty table gives an empty result; other columns ride along untouched.
+blob's findings each; an empty table gives an empty result; other columns ride along untouched, except that
+columns named ``blob`` or ``found`` are replaced.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ FORGE = Rule("forge", 1, "gh[pousr]_[A-Za-z0-9]{36,}", 0, 40)
 BASE = (ASSIGN, ACCESS, HEX)
 RULES = (*BASE, PEM, FORGE)
 
+SALTS = 16
 FOUND = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -88,7 +90,11 @@ def entries(spark: SparkSession, ledger: str) -> DataFrame | None:
 
 
 def scan(versions: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``versions`` without the text, with ``blob`` and ``found``; the ledger at that path gains what was new."""
+    """``versions`` without the text, with ``blob`` and ``found``; the ledger at that path gains what was new.
+
+    Paths are dealt by row number, so a table that is recomputed differently must not be passed: read it from
+    storage or store it first.
+    """
     spark = versions.sparkSession
     content = F.coalesce(F.col(text), F.lit(""))
     address = F.unhex(F.sha2(content, 256))
@@ -115,8 +121,14 @@ def scan(versions: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule
         .groupBy("blob")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("found"))
     )
-    paths = versions.select(*[c for c in versions.columns if c != text], address.alias("blob"))
-    return paths.join(found, "blob", "left")
+    # A blob may have any share of all paths: they are dealt over SALTS keys, and so are its findings.
+    salted = found.filter(F.size("found") > 0).select(
+        F.col("blob").alias("of"), "found", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    others = [c for c in versions.columns if c not in (text, "blob", "found")]
+    paths = versions.select(*others, address.alias("blob"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("dealt"))
+    joined = paths.join(salted, (F.col("blob") == F.col("of")) & (F.col("dealt") == F.col("salt")), "left")
+    return joined.select(*others, "blob", F.coalesce("found", F.array().cast(FOUND)).alias("found"))
 
 
 def digest(found: Column) -> Column:
