@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,16 +36,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(run, schema)
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of ``column`` in one piece hold about ``limit`` bytes."""
     for batch in batches:
         lengths = batch.column(column).cast(pa.large_string()).cast(pa.large_binary())
         first, held = 0, 0
-        for i, value in enumerate(pa.compute.binary_length(lengths).to_pylist()):
+        for i, value in enumerate(pc.binary_length(lengths).to_pylist()):
             held += value or 0
             if held >= limit:
                 yield batch.slice(first, i + 1 - first)
