@@ -252,6 +252,48 @@ def test_license_notices(spark, documents, rows):
     both(found, [(i, [f for k, f in named.items() if t and k in t]) for i, t in rows])
 
 
+WRAPPED = {
+    "gpl-3": [
+        "# Foo is free software; you can redistribute it and/or modify it",
+        "# under the terms of the GNU General Public License as published",
+        "# by the Free Software Foundation; either version 3, or (at your",
+        "# option) any later version.",
+    ],
+    "bsd-3-clause": [
+        " * Redistribution and use in source and binary forms, with or without",
+        " * modification, are permitted (subject to the limitations in the disclaimer",
+        " * below) provided that the following conditions are met:",
+    ],
+    "mit": [
+        "// Permission is hereby granted, free of charge, to anyone",
+        "// obtaining a copy of this software and associated",
+        "// documentation files (the Software), to deal in it freely",
+    ],
+    "mpl-2.0": [
+        "-- This Source Code is subject to the terms of the",
+        "-- Mozilla Public License, v. 2.0. If a copy of it",
+        "-- was not distributed with this file, you can get one.",
+    ],
+}
+
+
+def test_wrapped_license_headers(spark, documents):
+    model = licenses.train(documents)
+    texts, want = [], []
+    for family, lines in WRAPPED.items():
+        mark = lines[0].split()[0]
+        bare = [line.strip()[len(mark) :].strip() for line in lines]
+        around = ["some words", mark, *lines, mark, "other words"]
+        texts += ["\n".join(lines), "\n".join(bare), "\n".join(around), "\n\n".join(w for line in bare for w in line.split())]
+        want += [[(family, 0)], [(family, 0)], [(family, 2)], []]
+    every = [f"{line}" for lines in WRAPPED.values() for line in ["", *lines]]
+    texts.append("\n".join(every))
+    want.append([(f, 1 + sum(len(WRAPPED[g]) + 1 for g in list(WRAPPED)[:k])) for k, f in enumerate(WRAPPED)])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: [(n.family, n.paragraph) for n in r.notices if n.confirmed] for r in licenses.notices(df, model).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 # --- top k -------------------------------------------------------------------------------------------------
 
 
