@@ -268,6 +268,114 @@ def ingest(spark, sf_dir):
     return spark.read.schema(schemas.RUN).parquet(runs).select("status", "records_processed")
 
 
+# --- the whole input of d8, d10 and d11 ------------------------------------------------------
+
+
+def _ringed_areas(spark, sf_dir):
+    """Areas with a hole (every second), a second shell (two of four) and an unclosed first one (every fifth)."""
+    rel, edges, corners = fx.areas(spark, sf_dir)
+    member = "named_struct('type', 'way', 'ref', cast({} + id as bigint), 'role', '{}')"
+    some = lambda when, m: f"case when {when} then array({m}) else filter(array({m}), m -> false) end"
+    rel = rel.withColumn("members", F.expr(
+        "concat(filter(members, m -> id % 5 <> 0 or m.ref % 4 <> 3), "
+        f"{some('id % 2 = 0', member.format(1000000000, 'inner'))}, {some('id % 4 < 2', member.format(2000000000, 'outer'))})"
+    ))
+    ring = lambda base: fx.frame(spark, sf_dir, "fx_areas").selectExpr(
+        f"cast({base} + id as bigint) as id",
+        f"transform(array(0, 1, 2, 3, 0), c -> cast({base * 4} + id * 4 + c as bigint)) as nodes",
+        "cast(map() as map<string, string>) as tags", "cast(null as string) as geometry",
+        "cast(1 as int) as version", "cast(null as timestamp) as timestamp",
+    )
+    spot = lambda base, lon, lat: fx.frame(spark, sf_dir, "fx_corners").selectExpr(
+        f"cast({base * 4} + id as bigint) as id", f"{lat} as lat", f"{lon} as lon",
+        "cast(map() as map<string, string>) as tags", "cast(1 as int) as version", "cast(null as timestamp) as timestamp",
+    )
+    inner = spot(
+        1000000000,
+        "lon + case when c in (1, 2) then -1 else 1 end * (10 + area_id % 50) / 4000D",
+        "lat + case when c in (2, 3) then -1 else 1 end * (10 + area_id % 30) / 4000D",
+    )
+    ways = edges.unionByName(ring(1000000000)).unionByName(ring(2000000000))
+    return rel, ways, corners.unionByName(inner).unionByName(spot(2000000000, "lon + 1", "lat"))
+
+
+@query("d8_admin_boundaries_rings", fx.sql(
+    "with admin as (select * from fx_areas where boundary = 'administrative'), shells as ("
+    "select id, name, w, h, 0 as ring_no, id % 2 = 0 as hole from admin where id % 5 <> 0 union all "
+    "select id, name, w, h, case when id % 5 = 0 then 0 else 1 end, false from admin where id % 4 < 2) "
+    "select id as osm_id, name, cast(ring_no as int) as ring_no, cast(case when hole then 2 else 1 end as int) as n_rings, "
+    "round(w * h * case when hole then 0.75::double else 1.0::double end, 6) as area from shells", "fx_areas"))
+def admin_boundaries_rings(spark, sf_dir):
+    """Relations with inner rings, two shells and chains that do not close, which give no row."""
+    df = layers.admin_boundaries(*_ringed_areas(spark, sf_dir))
+    return df.select(
+        "osm_id", "name", "ring_no", F.expr("size(geom.parts)").alias("n_rings"),
+        F.round(F.expr(geo.area("geom")), 6).alias("area"),
+    )
+
+
+def _every_element(spark, sf_dir):
+    """Points of interest, way nodes and corners; roads, buildings and edges; all relations."""
+    rel, edges, corners = fx.areas(spark, sf_dir)
+    closed, _ = _closed_ways(spark, sf_dir)
+    moved = lambda df: df.withColumn("id", F.col("id") + 3000000000)
+    refs = lambda df, to: df.withColumn("nodes", F.expr(f"transform(nodes, n -> {to})"))
+    nodes = fx.nodes(spark, sf_dir).unionByName(fx.way_nodes(spark, sf_dir).withColumn("id", -F.col("id") - 1))
+    ways = refs(fx.ways(spark, sf_dir), "-n - 1").unionByName(moved(refs(edges, "n + 3000000000")))
+    ways = ways.unionByName(refs(closed, "n + 3000000000").withColumn("id", F.col("id") + 4000000000))
+    members = "transform(members, m -> named_struct('type', m.type, 'ref', m.ref + 3000000000, 'role', m.role))"
+    return nodes.unionByName(moved(corners)), ways, rel.withColumn("members", F.expr(members))
+
+
+_LAYER_COUNTS = (
+    f"select 'pois' as feature_type, count(*) as record_count from fx_pois where ({STRICT_POI}) is not null union all "
+    "select 'roads', count(*) from fx_ways join lengths using (id) where highway <> 'footway' and n_points >= 2 union all "
+    "select 'buildings', count(*) from fx_areas where id % 5 <> 2 and id % 7 <> 0 union all "
+    "select 'admin_boundaries', count(*) from fx_areas where boundary = 'administrative'"
+)
+
+
+@query("d10_ingest_layers_all", fx.sql(
+    f"with lengths as ({way_lengths(where='node_id % 37 <> 0')}) {_LAYER_COUNTS}",
+    "fx_pois", "fx_ways", "fx_vertices", "fx_areas"))
+def ingest_layers_all(spark, sf_dir):
+    """All four layers over all nodes, ways and relations."""
+    nodes, ways, rel = _every_element(spark, sf_dir)
+    return layers.layer_counts(layers.ingest_layers(elements.Elements(nodes, ways, rel, rel)))
+
+
+def _xml_tags():
+    value = "replace(replace(replace(t.value, '&', '&amp;'), '<', '&lt;'), '\"', '&quot;')"
+    return f"array_join(transform(map_entries(tags), t -> concat('<tag k=\"', t.key, '\" v=\"', {value}, '\"/>')), '')"
+
+
+@query("d11_ingest_all", fx.sql(
+    f"with lengths as ({way_lengths(where='node_id % 37 <> 0')}), counts as ({_LAYER_COUNTS}) "
+    "select 'completed' as status, cast((select sum(record_count) from counts) as bigint) as records_processed, "
+    "feature_type, record_count from counts", "fx_pois", "fx_ways", "fx_vertices", "fx_areas"))
+def ingest_all(spark, sf_dir):
+    """The whole workflow over XML with nodes, ways and relations: the run row beside every written layer."""
+    xml, out, runs = (session.new_path(spark, n) for n in ("osm", "out", "runs"))
+    nodes, ways, rel = _every_element(spark, sf_dir)
+    refs = "array_join(transform(nodes, n -> concat('<nd ref=\"', n, '\"/>')), '')"
+    members = (
+        "array_join(transform(members, m -> "
+        "concat('<member type=\"', m.type, '\" ref=\"', m.ref, '\" role=\"', m.role, '\"/>')), '')"
+    )
+    text = nodes.selectExpr(
+        f"concat('<node id=\"', id, '\" lat=\"', lat, '\" lon=\"', lon, '\" version=\"1\">', {_xml_tags()}, '</node>') as value"
+    )
+    for df, kind, inner in ((ways, "way", refs), (rel, "relation", members)):
+        text = text.unionByName(df.selectExpr(
+            f"concat('<{kind} id=\"', id, '\" version=\"1\">', {inner}, {_xml_tags()}, '</{kind}>') as value"
+        ))
+    sinks.write_xml(text, f"{xml}.osm")
+    done = ingest_op.ingest(spark, f"{xml}.osm", out, run_table=runs)
+    run = spark.read.schema(schemas.RUN).parquet(runs).select("status", "records_processed")
+    written = {name: spark.read.parquet(f"{out}/{name}") for name in done["stats"]["layers"]}
+    return run.crossJoin(layers.layer_counts(written)) if written else run
+
+
 # --- classification rules -------------------------------------------------------------------
 
 
