@@ -1,11 +1,12 @@
 """Toxicity score: a character n-gram linear classifier on naive Bayes log-count ratios.
 
-Features are the hashed character (byte) n-grams that a text has, each scaled by the log ratio of how often
-documents of either class have it; a logistic regression is fitted on the scaled features. Features whose
-ratio is within ``SIGMAS`` standard errors of zero are left out, and of the others the ``FEATURES`` farthest
-from it are used, so words that both classes use weigh nothing however long the text.
+Features are the hashed n-grams of UTF-8 bytes (not of characters) that a text has, each scaled by the log
+ratio of how often documents of either class have it; a logistic regression is fitted on the scaled features.
+Features whose ratio is within ``SIGMAS`` standard errors of zero are left out, so words that both classes
+use weigh nothing however long the text; all others are used.
 
-Counting runs on Spark over the labelled rows: per task into two arrays, then summed per bucket. The rows
+Counting runs on Spark over the labelled rows: per task into two arrays, then summed per bucket. The fit is
+Spark's on sparse rows, which are never gathered. The rows
 are at most ``PER_CLASS`` of each class, taken in the order of a hash of the id; the intercept is then moved
 to the class shares among all labelled rows. Weights (one array of ``BUCKETS`` floats) go to all tasks;
 scoring reads whole texts and is one pass without a shuffle.
@@ -22,23 +23,25 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from geoloom import session
 from geoloom.llm import common, wordhash
 
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (4, 5, 6)
 #: Bound of the sample of labelled rows, of each class.
-PER_CLASS = 8_000
+PER_CLASS = 20_000
 SIGMAS = 3.0
-#: Most features of a model; those farthest from chance are used.
-FEATURES = 2048
 LEAST_DOCUMENTS = 5
 SMOOTHING = 1.0
 RIDGE = 1e-4
-STEPS = 400
+STEPS = 500
 PIECE_BYTES = 1 << 18
 
 
@@ -114,37 +117,47 @@ def _ratios(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
     share = smooth / (documents[:, None] + 2 * SMOOTHING)
     ratio = np.log(share[1] / share[0])
     error = np.sqrt(1 / smooth[0] + 1 / smooth[1])
-    sigmas = np.where(counts.sum(axis=0) >= LEAST_DOCUMENTS, np.abs(ratio) / error, 0.0)
-    chosen = np.argsort(-sigmas, kind="stable")[:FEATURES]
-    chosen = chosen[sigmas[chosen] > SIGMAS]
-    ratios = np.zeros(len(ratio))
-    ratios[chosen] = ratio[chosen]
-    return ratios
-
-
-def _fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndarray, width: int) -> tuple[np.ndarray, float]:
-    """Logistic regression by accelerated gradient steps on sparse rows; classes weigh as they occur."""
-    n = len(label)
-    weight, bias = np.zeros(width), 0.0
-    seen_w, seen_b, momentum = weight.copy(), bias, 1.0
-    # The largest eigenvalue of the squared features, by a few power steps, bounds the curvature.
-    direction, largest = np.ones(width + 1), 1.0
-    for _ in range(20):
-        direction /= np.linalg.norm(direction)
-        image = np.bincount(row, value * direction[feature], minlength=n) + direction[-1]
-        direction = np.append(np.bincount(feature, value * image[row], minlength=width), image.sum())
-        largest = np.linalg.norm(direction)
-    rate = 1.0 / (1.1 * largest / (4 * n) + RIDGE)
-    for _ in range(STEPS):
-        margin = np.bincount(row, value * seen_w[feature], minlength=n) + seen_b
-        error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label
-        slope = np.bincount(feature, value * error[row], minlength=width) / n + RIDGE * seen_w
-        new_w, new_b = seen_w - rate * slope, seen_b - rate * error.mean()
-        following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        seen_w = new_w + (momentum - 1) / following * (new_w - weight)
-        seen_b = new_b + (momentum - 1) / following * (new_b - bias)
-        weight, bias, momentum = new_w, new_b, following
-    return weight, bias
+    telling = (counts.sum(axis=0) >= LEAST_DOCUMENTS) & (np.abs(ratio) > SIGMAS * error)
+    return np.where(telling, ratio, 0.0)
+
+
+def _fit(labelled: DataFrame, ratios: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weight of each used bucket, in their order, and intercept; classes weigh as they occur."""
+    spark = labelled.sparkSession
+    used = np.flatnonzero(ratios)
+    shared = spark.sparkContext.broadcast((used, ratios[used]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, scale = shared.value
+        wanted = np.zeros(BUCKETS, bool)
+        wanted[at] = True
+        with np.errstate(over="ignore"):
+            for batch in common.slices(batches, "text", PIECE_BYTES):
+                n = batch.num_rows
+                row, bucket = features(*wordhash.flat(batch.column("text")), wanted)
+                ends = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
+                place = np.searchsorted(at, bucket)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("label").cast(pa.float64()),
+                        pa.array(np.zeros(n, np.int8)),
+                        pa.array(np.full(n, len(at), np.int32)),
+                        pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
+                        pa.ListArray.from_arrays(ends, pa.array(scale[place])),
+                    ],
+                    names=["label", "type", "size", "indices", "values"],
+                )
+
+    parts = "type tinyint, size int, indices array<int>, values array<double>"
+    rows = labelled.select("text", "label").mapInArrow(run, f"label double, {parts}")
+    # A vector is stored as the struct of these fields, so it is read back as a vector.
+    path = session.new_path(spark, "gram-rows")
+    rows.select("label", F.struct("type", "size", "indices", "values").alias("features")).write.parquet(path)
+    schema = StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])
+    fitted = LogisticRegression(
+        family="binomial", regParam=RIDGE, elasticNetParam=0.0, maxIter=STEPS, standardization=False
+    ).fit(spark.read.schema(schema).parquet(path))
+    return fitted.coefficients.toArray(), fitted.intercept
 
 
 def sample(labels: DataFrame, allowed: Column) -> tuple[DataFrame, float]:
@@ -167,27 +180,11 @@ def train(documents: DataFrame, labels: DataFrame, allowed: Column) -> Model:
         share = min(max(share, 1e-9), 1 - 1e-9)
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     ratios = _ratios(counts, sizes)
-    used = ratios != 0
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in common.slices(batches, "text", PIECE_BYTES):
-                row, bucket = features(*wordhash.flat(batch.column("text")), used)
-                ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-                grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("label"), grams], names=["label", "grams"])
-
-    rows = labelled.select("text", "label").mapInArrow(run, "label int, grams array<int>").toArrow()
-    label = rows.column("label").to_numpy().astype(np.float64)
-    lengths = rows.column("grams").combine_chunks()
-    lengths = lengths.combine_chunks() if isinstance(lengths, pa.ChunkedArray) else lengths
-    bucket = lengths.flatten().to_numpy()
-    row = np.repeat(np.arange(len(label)), np.diff(lengths.offsets.to_numpy()))
-    at = np.flatnonzero(used)
-    feature = np.searchsorted(at, bucket)
-    weight, bias = _fit(row, feature, ratios[bucket], label, len(at))
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[at] = weight * ratios[at]
+    at = np.flatnonzero(ratios)
+    weights, bias = np.zeros(BUCKETS, np.float32), float(np.log(sizes[1] / sizes[0]))
+    if len(at):
+        weight, bias = _fit(labelled, ratios)
+        weights[at] = weight * ratios[at]
     shift = np.log(share / (1 - share)) - np.log(sizes[1] / sizes[0])
     return Model(weights, float(bias + shift))
 

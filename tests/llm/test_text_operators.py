@@ -242,6 +242,15 @@ def test_toxicity_on_held_out_rows(spark):
     assert {round(r.score, 6) for r in toxicity.score(docs_df, none).collect()} == {0.0}
 
 
+def test_every_telling_feature_weighs():
+    counts = np.zeros((2, toxicity.BUCKETS))
+    counts[1, :3000] = 50
+    counts[0, 3000:6000] = 50
+    counts[:, 6000:9000] = 50
+    ratios = toxicity._ratios(counts, np.array([1000.0, 1000.0]))
+    assert (np.flatnonzero(ratios) == np.arange(6000)).all()
+
+
 # --- licences ----------------------------------------------------------------------------------------------
 
 
