@@ -55,6 +55,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/geoloom/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table below the shared folder that nothing reads any more."""
+    if not path.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Repartition a scan that has fewer splits than there are cores.
 
