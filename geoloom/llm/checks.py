@@ -92,3 +92,84 @@ o as (select *, head || content || chr(10) as segment,
 select conv_id, participant, seq, turn, role, segment as text, s as start, s + length(segment) as "end",
     case when role = 'assistant' then s + length(head) end as mask_start,
     case when role = 'assistant' then s + length(head) + length(content) end as mask_end from o"""
+
+
+def _prefixed(key: str, cost: str, letter: str) -> str:
+    """A repair with one more edit in front; repairs are their cost in ten digits and their audit, so strings compare."""
+    return f"printf('%010d', {key}[:10]::bigint + {cost}) || '{letter}' || {key}[11:]"
+
+
+def _edits(state: int, fits: str) -> str:
+    due = 3 if state == 2 else 2
+    keeps = " ".join(f"when f < 2 and cls = '{c}' then {_prefixed(f'k{n}', 'late', 'K')}" for c, n in zip(fits[::2], fits[1::2]))
+    rename = f"case when f < 2 then {_prefixed(f'k{due}', '2 + late', 'R')} end"
+    return f"least({_prefixed(f'k{state}', '3', 'D')}, case {keeps} end, {rename}) as b{state}"
+
+
+_BASE_EDITS = ", ".join(_edits(q, fits) for q, fits in enumerate(["s1u2", "u2", "a3", "u2"]))
+CONVERSATION_REPAIR = rf"""
+with recursive tab as (select list(c order by i) as t from (select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) r(i))),
+keyed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+faulty as (select *, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(k) + 1), lambda i: unicode(k[i])::bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 as fault from keyed, tab),
+damaged as (select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+    case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case when fault = 3 then 2 else 1 end)) as copy from faulty where fault != 0),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as n from damaged),
+judged as (select *, left(role, 1) as cls, case when not regexp_matches(text, '[^ 	-]') then 'blank'
+    when row_number() over (partition by conv_id, role, text order by n) > 1 then 'duplicate'
+    when not regexp_matches(text, '[.!?][ 	-]*$') then 'truncated' end as fault,
+    lag(left(role, 1)) over (partition by conv_id order by n) as cls_before from placed),
+rows_of as (select *, case when fault in ('blank', 'duplicate') then 2 when fault = 'truncated' then 1 else 0 end as f from judged),
+per as (select conv_id, count(*) as size, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (cls_before is not null and cls_before || cls not in ('su', 'ua', 'au')) as illegal from rows_of group by conv_id),
+back as (
+    select conv_id, size as i, '0000000000' as k0, '0000000004II' as k1, '0000000002I' as k2, '0000000000' as k3 from per
+    union all
+    select conv_id, i, least(b0, {_prefixed("l2", "2", "I")}), least(b1, {_prefixed("l2", "2", "I")}), l2, l3 from (
+        select conv_id, i, b0, b1, least(b2, {_prefixed("b3", "2", "I")}) as l2, least(b3, {_prefixed("b2", "2", "I")}) as l3 from (
+            select conv_id, i - 1 as i, {_BASE_EDITS} from (
+                select back.*, cls, f, case when f = 1 then 1 else 0 end as late
+                from back join rows_of r on r.conv_id is not distinct from back.conv_id and r.n = back.i)))),
+best as (select conv_id, k0[:10]::bigint as cost, k0[11:] as audit from back where i = 0),
+letters as (select conv_id, p, audit[p] as x from (select conv_id, audit, unnest(range(1, length(audit) + 1)) as p from best)),
+counted as (select *, count(*) filter (x != 'I') over w as r, count(*) filter (x != 'D') over w - 1 as e from letters
+    window w as (partition by conv_id order by p rows unbounded preceding)),
+spoken as (select c.*, role, text, max(case when e = 0 and x = 'K' and cls = 's' then 1 else 0 end) over (partition by c.conv_id) as sys
+    from counted c left join rows_of o on o.conv_id is not distinct from c.conv_id and o.n = c.r and x != 'I' where x != 'D'),
+texts as (select conv_id, string_agg(case when x = 'K' then role when (e - sys) % 2 = 0 then 'user' else 'assistant' end
+    || ':' || coalesce(text, ''), chr(10) order by p) as whole from spoken group by conv_id)
+select a.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+    coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(audit, '') as audit,
+    sha256(coalesce(whole, '')) as repaired_sha256
+from (select distinct conv_id from conversations) a left join per on per.conv_id is not distinct from a.conv_id
+    left join best on best.conv_id is not distinct from a.conv_id left join texts on texts.conv_id is not distinct from a.conv_id"""
+
+
+def _rounds(rounds: int) -> str:
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""a{t} as materialized (select r, any_value(vec_id) as vec_id, any_value(v) as v, min({{'d': d, 'j': j}}) as b from (
+            select k.*, j, list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::bigint as d
+            from kept k, c{t}) group by r)""")
+        if t < rounds:
+            steps.append(f"""c{t + 1} as materialized (select o.j, coalesce(m.c, o.c) as c from c{t} o left join (
+                select j, list((s - ((s % n + n) % n)) // n order by i) as c from (
+                    select j, i, sum(x)::bigint as s, count(*) as n from (
+                        select b.j as j, unnest(v) as x, unnest(range(64)) as i from a{t}) group by j, i) group by j) m using (j))""")
+    return ", ".join(steps)
+
+
+CENTROIDS = f"""
+with kept as materialized (select row_number() over () as r, * from (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+    where vec_id is not null and len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)),
+c0 as materialized (select row_number() over (order by h, c) - 1 as j, c from (
+    select sha256('3:' || vec_id) as h, v as c from kept order by h, c limit 8)),
+{_rounds(10)}
+select vec_id, b.j::int as cluster, b.d as distance, sum(b.d) over (partition by b.j)::bigint as cluster_inertia,
+    sum(b.d) over ()::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256 from a10 join c10 on c10.j = b.j"""

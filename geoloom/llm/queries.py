@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, chat, checks, decontam, licenses, neardup, runindex, secret_ledger, tokencount, topk, toxicity
+from geoloom.llm import bpe, centroids, chat, checks, convrepair, decontam, fingerprints, licenses, neardup, runindex, secret_ledger, tokencount, topk, toxicity
 from geoloom.llm.common import table
 
 #: Documents from this score on are taken as toxic.
@@ -102,6 +102,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return convrepair.audits(conversations, convrepair.damaged(conversations))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.edited(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        *[F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")],
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -113,6 +133,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_perspectives": op9_chat_perspectives,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 
 CHECKS = {
@@ -121,4 +144,6 @@ CHECKS = {
     "op7_top_k": checks.TOP_K,
     "op9_chat_perspectives": checks.PERSPECTIVES,
     "op10_decontamination": checks.DECONTAMINATION,
+    "op11_conversation_repair": checks.CONVERSATION_REPAIR,
+    "op12_centroid_clusters": checks.CENTROIDS,
 }
