@@ -1,16 +1,16 @@
-"""Line simplification.
+"""Line simplification by the Douglas-Peucker rule.
 
-The recursive Douglas-Peucker split cannot be written with built-in expressions, so one Arrow
-pass computes for every vertex the largest tolerance that still keeps it.  After that, any
-number of tolerances (one per zoom, say) is a JVM-side filter on that weight.
+For several tolerances (one per zoom, say) one Arrow pass computes for every vertex the largest
+tolerance that still keeps it; after that each tolerance is a JVM-side filter on that weight.  For one
+tolerance ``simplified_at`` is an expression without Python, which is also the SQL function.
+
+Of vertices equally far from a chord (within a billionth) the first one splits it.  A closed ring keeps
+its ends, its first split and the better of the next two splits (the earlier one, if they are equal).
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,18 +20,20 @@ from geoloom.functions import geometry as geo
 
 # Weight of vertices that no tolerance may remove; a finite stand-in for infinity.
 KEEP = 1e300
+# Distances from this share of the largest on count as equal to it.
+ALIKE = 1 - 1e-9
 
 
-def vertex_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weight w per vertex: simplifying with tolerance t keeps exactly the vertices with w > t."""
+def vertex_weights(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weight w per vertex (simplifying with tolerance t keeps exactly the vertices with w > t), and its level."""
     n = len(x)
-    weights = np.zeros(n)
+    weights, levels = np.zeros(n), np.zeros(n, np.int64)
     if n == 0:
-        return weights
+        return weights, levels
     weights[0] = weights[-1] = KEEP
-    pending = [(0, n - 1, KEEP)]
+    pending = [(0, n - 1, KEEP, 1)]
     while pending:
-        lo, hi, limit = pending.pop()
+        lo, hi, limit, level = pending.pop()
         if hi - lo < 2:
             continue
         dx, dy = x[hi] - x[lo], y[hi] - y[lo]
@@ -42,21 +44,21 @@ def vertex_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
             dist = np.hypot(px - t * dx, py - t * dy)
         else:
             dist = np.hypot(px, py)
-        at = int(np.argmax(dist))
-        weight = min(limit, float(dist[at]))
-        split = lo + 1 + at
-        weights[split] = weight
-        pending.append((lo, split, weight))
-        pending.append((split, hi, weight))
-    return weights
+        top = float(dist.max())
+        split = lo + 1 + int(np.argmax(dist >= top * ALIKE))
+        weight = min(limit, top)
+        weights[split], levels[split] = weight, level
+        pending.append((lo, split, weight, level + 1))
+        pending.append((split, hi, weight, level + 1))
+    return weights, levels
 
 
 def ring_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """As above, but a closed ring always keeps four points, so it stays a ring."""
-    weights = vertex_weights(x, y)
+    weights, levels = vertex_weights(x, y)
     closed = len(x) >= 4 and x[0] == x[-1] and y[0] == y[-1]
     if closed:
-        inner = 1 + np.argsort(-weights[1:-1], kind="stable")[:2]
+        inner = 1 + np.lexsort((levels[1:-1], -weights[1:-1]))[:2]
         weights[inner] = KEEP
     return weights
 
@@ -113,31 +115,67 @@ def simplify_text(df: DataFrame, wkt: str, tolerance: str, out: str) -> DataFram
     return weighed.withColumn(out, text).drop("_g", "_w")
 
 
-# The same as one SQL function.  Spark does not hand the parsed geometry from built-in expressions to
-# a Python function inside one SQL function, so this one reads the text itself.
-@F.pandas_udf(T.StringType())
-def simplify_wkt(wkt: pd.Series, tolerance: pd.Series) -> pd.Series:
-    """Simplify WKT text; text that does not parse comes back unchanged."""
-    return pd.Series([_simplify_text(w, t) for w, t in zip(wkt, tolerance)], dtype=object)
-
-
-def _simplify_text(wkt, tolerance):
-    if wkt is None or wkt == "":
-        return None
-    kind, _, body = wkt.partition("(")
-    kind, body = kind.strip().upper(), body.rstrip()[:-1]
-    if kind not in ("LINESTRING", "POLYGON") or tolerance is None or math.isnan(tolerance):
-        return wkt
-    try:
-        rings = body.strip()[1:-1].replace(") ,", "),").split("),") if kind == "POLYGON" else [body]
-        texts = []
-        for ring in rings:
-            pairs = [p.split() for p in ring.strip().strip("()").split(",")]
-            x = np.array([float(p[0]) for p in pairs])
-            y = np.array([float(p[1]) for p in pairs])
-            kept = ring_weights(x, y) > tolerance
-            texts.append(", ".join(" ".join(p) for p, k in zip(pairs, kept) if k))
-    except (ValueError, IndexError):
-        return wkt
-    inner = ", ".join(f"({t})" for t in texts) if kind == "POLYGON" else texts[0]
-    return f"{kind} ({inner})"
+def _farthest(ring: str, lo: str, hi: str) -> str:
+    """``struct<at, d>``: the vertex between two others that is farthest from their chord."""
+    p, d, j = geo._lambda(3)
+    chord = f"named_struct('a', {ring}[{lo}], 'b', {ring}[{hi}])"
+    away = geo.let(chord, lambda c: f"transform(slice({ring}, {lo} + 2, {hi} - {lo} - 1), {p} -> {geo._point_segment(p, c)})")
+    first = lambda ds, top: f"array_position(transform({ds}, {d} -> {d} >= {top} * {ALIKE!r}D), true)"
+    return geo.let(
+        away,
+        lambda ds: geo.let(
+            f"array_max({ds})", lambda top: f"named_struct('at', CAST({lo} + {first(ds, top)} AS INT), 'd', {top})"
+        ),
+    )
+
+
+def simplified_at(geom: str, tolerance: str) -> str:
+    """SQL text: the geometry simplified by one tolerance, without Python.
+
+    Stretches between kept vertices are split side by side, level by level, so a line costs its length times
+    the depth of the splits. The rules are those of ``vertex_weights``.
+    """
+    r, s, acc, k, v = geo._lambda(5)
+    stretch = lambda lo, hi, go: (
+        f"named_struct('lo', CAST({lo} AS INT), 'hi', CAST({hi} AS INT), 'open', coalesce({go}, false) AND {hi} - {lo} >= 2)"
+    )
+    last = f"(size({r}) - 1)"
+
+    def split(m: str) -> str:
+        parts = f"array({stretch(f'{s}.lo', f'{m}.at', 'true')}, {stretch(f'{m}.at', f'{s}.hi', 'true')})"
+        return f"CASE WHEN {m}.d > {tolerance} THEN {parts} ELSE array({stretch(f'{s}.lo', f'{s}.hi', 'false')}) END"
+
+    # A ring keeps its first split and the better of the next two, whatever the tolerance.
+    def ring_start(m: str) -> str:
+        left = f"CASE WHEN {m}.at >= 2 THEN {_farthest(r, '0', f'{m}.at')} END"
+        right = f"CASE WHEN {last} - {m}.at >= 2 THEN {_farthest(r, f'{m}.at', last)} END"
+
+        def both(x: str, y: str) -> str:
+            weight = lambda z: f"CASE WHEN {z} IS NULL THEN -1D ELSE least({m}.d, {z}.d) END"
+            wide, deep = f"{m}.d > {tolerance}", lambda z: f"({m}.d > {tolerance} AND {z}.d > {tolerance})"
+            first = [stretch("0", f"{x}.at", deep(x)), stretch(f"{x}.at", f"{m}.at", deep(x)), stretch(f"{m}.at", last, wide)]
+            second = [stretch("0", f"{m}.at", wide), stretch(f"{m}.at", f"{y}.at", deep(y)), stretch(f"{y}.at", last, deep(y))]
+            return f"CASE WHEN {weight(x)} >= {weight(y)} THEN array({', '.join(first)}) ELSE array({', '.join(second)}) END"
+
+        return geo.let(left, lambda x: geo.let(right, lambda y: both(x, y)))
+
+    closed = f"size({r}) >= 4 AND {r}[0] = element_at({r}, -1)"
+    start = f"CASE WHEN {closed} THEN {geo.let(_farthest(r, '0', last), ring_start)} ELSE array({stretch('0', last, 'true')}) END"
+    state = lambda segs: geo.let(
+        segs, lambda x: f"named_struct('open', exists({x}, {v} -> {v}.open), 'segs', {x})"
+    )
+    halves = geo.let(_farthest(r, f"{s}.lo", f"{s}.hi"), split)
+    onward = f"flatten(transform({acc}.segs, {s} -> CASE WHEN {s}.open THEN {halves} ELSE array({s}) END))"
+    walked = f"aggregate({r}, {state(start)}, ({acc}, {k}) -> CASE WHEN {acc}.open THEN {state(onward)} ELSE {acc} END, {acc} -> {acc}.segs)"
+    kept = f"concat(transform({walked}, {s} -> {r}[{s}.lo]), array(element_at({r}, -1)))"
+    return (
+        f"CASE WHEN {geom}.kind LIKE '%POINT' THEN {geom} "
+        f"WHEN {geom} IS NOT NULL THEN named_struct('kind', {geom}.kind, 'parts', transform({geom}.parts, {r} -> {kept})) END"
+    )
+
+
+def wkt_simplified(wkt: str, tolerance: str) -> str:
+    """SQL text: ``simplify_text`` as one expression, which works on any argument."""
+    shape = geo.let(geo.let(geo.parse_wkt(wkt), lambda g: simplified_at(g, tolerance)), geo.to_wkt)
+    usable = f"{tolerance} IS NOT NULL AND NOT isnan({tolerance})"
+    return f"nullif(CASE WHEN {usable} THEN coalesce({shape}, {wkt}) ELSE {wkt} END, '')"

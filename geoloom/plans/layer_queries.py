@@ -73,13 +73,14 @@ _FAR = (
     f"sqrt(pow({_AT}.x - {_LO}.x - {_ALONG} * ({_HI}.x - {_LO}.x), 2) + pow({_AT}.y - {_LO}.y - {_ALONG} * ({_HI}.y - {_LO}.y), 2))"
 )
 _DISTANCES = f"list_transform(range(lo + 1, hi), lambda j: {_FAR})"
+_FIRST = f"list_position(list_transform({_DISTANCES}, lambda d: d >= list_max({_DISTANCES}) * (1 - 1e-9::double)), true)"
 WEIGHTS = (
     "lines as (select id, list({'x': lon, 'y': lat} order by i) as p from fx_vertices group by id), "
-    "segs as (select id, p, cast(1 as bigint) as lo, cast(len(p) as bigint) as hi, cast(1e300 as double) as lim from lines union all "
-    "select id, p, case s.s when 0 then lo else k end, case s.s when 0 then k else hi end, w from "
-    f"(select id, p, lo, hi, lo + list_position({_DISTANCES}, list_max({_DISTANCES})) as k, least(lim, list_max({_DISTANCES})) as w "
+    "segs as (select id, p, cast(1 as bigint) as lo, cast(len(p) as bigint) as hi, cast(1e300 as double) as lim, 1 as level from lines union all "
+    "select id, p, case s.s when 0 then lo else k end, case s.s when 0 then k else hi end, w, level + 1 from "
+    f"(select id, p, lo, hi, level, lo + {_FIRST} as k, least(lim, list_max({_DISTANCES})) as w "
     "from segs where hi - lo > 1) m, (values (0), (1)) s(s)), "
-    f"weights as (select id, lo + list_position({_DISTANCES}, list_max({_DISTANCES})) - 1 as i, least(lim, list_max({_DISTANCES})) as w, "
+    f"weights as (select id, lo + {_FIRST} - 1 as i, least(lim, list_max({_DISTANCES})) as w, level, "
     "len(p) >= 4 and p[1] = p[-1] as ring from segs where hi - lo > 1)"
 )
 

@@ -145,7 +145,7 @@ def simplify_geometry(spark, sf_dir):
 
 
 @query("f8_simplify_geometry_sql", fx.sql(
-    f"with {WEIGHTS}, ranked as (select *, row_number() over (partition by id order by w desc, i) as best from weights) "
+    f"with {WEIGHTS}, ranked as (select *, row_number() over (partition by id order by w desc, level, i) as best from weights) "
     "select v.id, concat('LINESTRING (', string_agg(concat(lon, ' ', lat), ', ' order by v.i), ')') as simplified "
     "from fx_ways f join fx_vertices v on v.id = f.id left join ranked r on r.id = v.id and r.i = v.i "
     "where v.i = 0 or v.i = f.n - 1 or w > 0.02 or (ring and best <= 2) group by v.id", "fx_ways", "fx_vertices"))

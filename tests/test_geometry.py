@@ -222,6 +222,31 @@ def test_simplify_keeps_rings(spark):
     assert kept("0D") == 6 and kept("1D") == 5 and kept("100D") == 4
 
 
+def test_simplify_function_equals_the_weighing_pass(spark):
+    """On lines, rings, holes, multi-part shapes, Z and equal distances, with an argument made by a lambda."""
+    rng = random.Random(11)
+
+    def ring(n, x):
+        pts = [(x + rng.randint(0, 12), rng.randint(0, 12)) for _ in range(n)]
+        return [*pts, pts[0]]
+
+    text = lambda pts, z="": "(" + ", ".join(f"{x} {y}{z}" for x, y in pts) + ")"
+    shapes = [f"LINESTRING {text(ring(rng.randint(1, 30), 0)[: rng.randint(2, 40)])}" for _ in range(60)]
+    shapes += [f"LINESTRING Z {text(ring(9, 0), ' 7')}", "POINT (1 2)", "BROKEN", "LINESTRING EMPTY", "MULTIPOINT ((1 2), (3 4))"]
+    shapes += [f"POLYGON ({text(ring(rng.randint(3, 25), 0))}, {text(ring(4, 50))})" for _ in range(40)]
+    shapes += [f"MULTILINESTRING ({text(ring(8, 0))}, {text(ring(7, 5)[:5])})" for _ in range(10)]
+    shapes += [f"MULTIPOLYGON (({text(ring(8, 0))}), ({text(ring(9, 50))}, {text(ring(5, 90))}))" for _ in range(10)]
+    shapes += ["LINESTRING (0 0, 1 1, 2 0, 3 1, 4 0)", "POLYGON ((0 0, 0 1, 1 1, 1 0, 0 0))", "LINESTRING (86.245 5.125, 86.24 5.13, 86.233 5.141)"]
+    register(spark)
+    df = spark.createDataFrame([(i, w, t) for i, w in enumerate(shapes) for t in (-1.0, 0.0, 1.5, 4.0, float("nan"), None)], "i int, w string, t double")
+    df = df.withColumn("w", F.expr(geo.let("concat(w, '')", lambda v: f"trim({v})")))
+    df = simplify.simplify_text(df.withColumn("s", F.expr("simplify_geometry(w, t)")), "w", "t", "x")
+    rows = df.collect()
+    assert len(rows) == 6 * len(shapes)
+    assert [r for r in rows if r["s"] != r["x"]] == []
+    assert any(r["s"] != r["w"] for r in rows if r["t"] == 4.0)
+
+
 def test_tile_round_trip(spark):
     """The tile of a tile's centre is the tile itself."""
     df = spark.range(0, 400).selectExpr("cast(id % 20 as int) z", "id").selectExpr(
