@@ -10,7 +10,7 @@ from geoloom.operators import metrics, retention
 from geoloom.plans import fixtures as fx
 from geoloom.plans.registry import query
 from geoloom.plans.tile_queries import _sx, _sy
-from geoloom.sources import sinks
+from geoloom.sources import parts, sinks
 from geoloom.streaming import metrics as stream_metrics
 
 _NOW = "(select max(ts) from fx_metrics)"
@@ -309,6 +309,37 @@ def prune_metrics(spark, sf_dir):
     return retention.prune_metrics(df, now(), 7).select("sample_id", removed.alias("removed"))
 
 
+_STORED = (
+    f"select 'tiles' as kind, format || ':' || x || '/' || y as row_key from ({_DATED}) t where not (format = 'mvt' and generated_at < {_TILE_NOW} - interval 30 day) union all "
+    "select 'metrics', sample_id::varchar from fx_metrics where ts >= (select max(ts) from fx_metrics) - interval 7 day union all "
+    "select 'runs', run_id::varchar from fx_runs where not (status in ('completed', 'failed') and start_time < timestamp '1996-01-01')"
+)
+
+
+@query("k1_prune_stored", fx.sql(_STORED, "fx_pois", "fx_metrics", "fx_runs"))
+def prune_stored(spark, sf_dir):
+    """Tiles, samples and runs pruned as stored tables, partition by partition."""
+    root = session.new_path(spark, "retention")
+    samples = fx.metric_samples(spark, sf_dir)
+    runs = fx.frame(spark, sf_dir, "fx_runs").withColumn("start_time", F.col("start_time").cast("timestamp"))
+    column = F.expr("cast(x div 16 as string)").alias("part")
+    parts.commit(
+        spark,
+        root,
+        parts.stage(_dated_tiles(spark, sf_dir).select("*", column), root, "tiles"),
+        parts.stage(samples.withColumn("part", F.date_format("timestamp", "yyyy-MM-dd")), root, "metrics"),
+        parts.stage(runs.withColumn("part", F.date_format("start_time", "yyyy-MM")), root, "runs"),
+    )
+    at = lambda text: F.lit(text).cast("timestamp")
+    newest = samples.agg(F.max("timestamp").cast("string")).first()[0]
+    retention.prune_stored(spark, root, "tiles", retention.stale_tiles(at("2024-02-10")))
+    retention.prune_stored(spark, root, "metrics", retention.stale_metrics(at(newest), 7))
+    retention.prune_stored(spark, root, "runs", retention.stale_runs(at("1996-01-31"), 30))
+    keys = {"tiles": "concat(format, ':', x, '/', y)", "metrics": "cast(sample_id as string)", "runs": "cast(run_id as string)"}
+    rows = [parts.read(spark, root, t).select(F.lit(t).alias("kind"), F.expr(k).alias("row_key")) for t, k in keys.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 _RUN_NOW = "(select max(start_time) from fx_runs)"
 
 

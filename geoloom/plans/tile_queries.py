@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from geoloom import schemas, session
 from geoloom.functions import geometry as geo
 from geoloom.functions import mvt, tilemath
-from geoloom.operators import catalog, joins, layers, tiles
+from geoloom.operators import catalog, incremental, joins, layers, tiles
 from geoloom.plans import fixtures as fx
-from geoloom.plans.layer_queries import CATEGORY, SCORE, WEIGHTS, WIDE, way_lengths
+from geoloom.plans.layer_queries import CATEGORY, SCORE, STRICT_POI, WEIGHTS, WIDE, way_lengths
 from geoloom.plans.registry import query
-from geoloom.sources import sinks
+from geoloom.sources import elements, parts, sinks
 
 # --- shared pieces of the checks ------------------------------------------------------------
 
@@ -304,6 +304,59 @@ def single_tile(spark, sf_dir):
     return df.select("z", "x", "y", "feature_count")
 
 
+# Every 40th way node moves, every 33rd way goes, every 21st becomes a primary road; points alike.
+_MOVED = (
+    "moved as (select * replace (case when node_id % 40 = 3 then lat + 0.25 else lat end as lat) from fx_vertices where id % 33 <> 5), "
+    "renamed as (select * replace (case when id % 21 = 4 then 'primary' else highway end as highway) from fx_ways), "
+    "places as (select * replace (case when id % 4 = 0 then lat + 0.25 else lat end as lat) from fx_pois where id % 6 <> 5)"
+)
+
+
+def _after_changes(sql: str) -> str:
+    return sql.replace("fx_vertices", "moved").replace("fx_ways", "renamed").replace("fx_pois", "places")
+
+
+_ROAD_TILES = _after_changes(
+    f"select distinct z, x, y, 'roads' as layer, c.id as feature_id from cand c join segments s on s.id = c.id and ax is not null join fx_ways w on w.id = c.id "
+    "where highway in ('motorway', 'trunk', 'primary', 'secondary') "
+    "and greatest(ax, cx) >= gx0 and least(ax, cx) <= gx1 and greatest(ay, cy) >= gy0 and least(ay, cy) <= gy1 "
+    f"and least({_TURNS}) <= 0 and greatest({_TURNS}) >= 0"
+)
+CHANGED_TILES = fx.sql(
+    f"with {_MOVED}, segments as ({_after_changes(_SEGMENTS)}), boxes as ({_after_changes(_WAY_BOXES)}), cand as ({box_tiles('(9)', 'boxes')}) "
+    f"select z, x, y, count(*) as feature_count from ({_ROAD_TILES} union all "
+    f"select z, x, y, 'pois', id from ({_after_changes(point_tiles('(4)', f'({STRICT_POI}) is not null'))}) t) f group by z, x, y", "fx_vertices", "fx_ways", "fx_pois")
+
+
+@query("m1_changed_tiles", CHANGED_TILES)
+def changed_tiles(spark, sf_dir):
+    """Stored tiles after a change set: nodes move, ways go or change, points move or go."""
+    no_relations = spark.createDataFrame([], schemas.RELATION)
+    nodes = fx.frame(spark, sf_dir, "fx_vertices").selectExpr(
+        "node_id as id", "lat", "lon", "cast(map() as map<string, string>) as tags", "1 as version", "cast(null as timestamp) as timestamp"
+    )
+    far = 1 << 40  # points are nodes too, beyond the ids of way nodes
+    nodes = nodes.unionByName(fx.nodes(spark, sf_dir).withColumn("id", F.col("id") + far))
+    data = elements.Elements(nodes, fx.ways(spark, sf_dir), no_relations, None)
+    newer = {"version": F.lit(2), "deleted": F.lit(False)}
+    place = F.col("id") >= far
+    number = F.col("id") - far
+    moved = data.nodes.filter((~place & (F.col("id") % 40 == 3)) | (place & (number % 4 == 0))).withColumn("lat", F.col("lat") + 0.25)
+    gone = data.nodes.filter(place & (number % 6 == 5)).withColumns({"version": F.lit(3), "deleted": F.lit(True)})
+    primary = F.expr("map_concat(map_filter(tags, (k, v) -> k <> 'highway'), map('highway', 'primary'))")
+    named = data.ways.filter("id % 21 = 4").withColumn("tags", primary).withColumns(newer)
+    removed = data.ways.filter("id % 33 = 5").withColumns({"version": F.lit(3), "deleted": F.lit(True)})
+    change_set = {"node": moved.withColumns(newer).unionByName(gone), "way": named.unionByName(removed)}
+    shown = [
+        tiles.Layer("roads", "roads", 9, 9, "geometry_wkt", ["name"], {"road_type": ["motorway", "trunk", "primary", "secondary"]}),
+        tiles.Layer("pois", "pois", 4, 4, "geom", ["name"]),
+    ]
+    root = session.new_path(spark, "tileset")
+    incremental.build_tiles(spark, root, layers.ingest_layers(data), shown, [4, 9], "geojson")
+    incremental.refresh_tiles(spark, root, data, change_set, shown, [4, 9], "geojson")
+    return parts.read(spark, root, "tiles").select("z", "x", "y", "feature_count")
+
+
 @query("h16_tileset", fx.sql(
     f"select z, count(*) as tiles_generated, sum(n) as features, cast(pow(4, z) as bigint) as total_tile_specs from ("
     f"select z, x, y, count(*) as n from (select z, x, y from ({point_tiles('(0), (3), (6)')}) t union all "
