@@ -11,6 +11,7 @@ from geoloom.plans import fixtures as fx
 from geoloom.plans.registry import query
 from geoloom.plans.tile_queries import _sx, _sy
 from geoloom.sources import parts, sinks
+from geoloom.streaming import alert_state
 from geoloom.streaming import metrics as stream_metrics
 
 _NOW = "(select max(ts) from fx_metrics)"
@@ -270,6 +271,14 @@ def stream_alerts(spark, sf_dir):
     return _alert_columns(stream_metrics.read_windows(spark, found, schema))
 
 
+@query("l2_keyed_alerts", fx.sql(_alerts_sql(closed=True), "fx_metrics"))
+def keyed_alerts(spark, sf_dir):
+    """The same alerts from the state of each metric, without a history table."""
+    path, checkpoint = session.new_path(spark, "keyed-alerts"), session.new_path(spark, "keyed-alerts-cp")
+    alert_state.write_alerts(_event_stream(spark, sf_dir), RULES, path, checkpoint, "1 hour").awaitTermination()
+    return _alert_columns(spark.read.parquet(path))
+
+
 # --- retention and upserts ------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom.operators import metrics
-from geoloom.streaming import arrivals
+from geoloom.streaming import alert_state, arrivals
 from geoloom.streaming import metrics as stream_metrics
 
 T0 = datetime(2024, 1, 1)
@@ -187,6 +187,27 @@ def test_stream_over_several_runs_equals_batch(spark, tmp_path):
     assert got_alerts
 
 
+@pytest.mark.parametrize("per_labels", [False, True])
+def test_keyed_alerts_over_restarts_equal_batch(spark, tmp_path, per_labels):
+    """Every landing is a run of its own, so the state comes out of the checkpoint; one metric falls silent."""
+    rng = random.Random(12)
+    src, found, cp = (str(tmp_path / n) for n in ("src", "alerts", "cp"))
+    rules = [alert_rule(evaluation_period=600, datapoints_to_alarm=3), alert_rule(evaluation_period=120, datapoints_to_alarm=2)]
+    rows = [("m", 60 * i + rng.randrange(60), rng.uniform(8, 20), i % 2) for i in range(45) if not 20 < i < 33]
+    rows += [("n", 60 * i, 50.0, 0) for i in range(45)]
+    rows.sort(key=lambda r: r[1])
+    for n in range(3):
+        land(samples(spark, rows[26 * n : 26 * n + 26]), src, n)
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{src}/*")
+        alert_state.write_alerts(stream, rules, found, cp, per_labels=per_labels).awaitTermination()
+    newest = max(r[1] for r in rows[:78])
+    closed = metrics.metric_windows(samples(spark, rows[:78])).filter(F.col("window_end") <= F.lit(T0 + timedelta(seconds=newest - 60)))
+    want = [(r.rule, r.timestamp, r.label_key, round(r.actual_value, 9)) for r in metrics.alerts(closed, rules, per_labels).collect()]
+    got = [(r.rule, r.timestamp, r.label_key, round(r.actual_value, 9)) for r in spark.read.parquet(found).collect()]
+    assert sorted(got) == sorted(want)
+    assert {r[0] for r in got} == {0, 1}
+
+
 def test_late_samples_are_dropped(spark, tmp_path):
     src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
     for n, rows in enumerate([[("m", 5, 1.0, 0), ("m", 600, 1.0, 0)], [("m", 10, 9.0, 0), ("m", 900, 1.0, 0)]]):
