@@ -318,16 +318,33 @@ def test_top_k(spark):
             scored = sorted(((-int(q @ v), j) for j, v in whole if j != i and len(v) == len(q)))[:20]
             want += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored, 1)]
     df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
-    sizes = topk.POINT_BLOCK, topk.QUERY_BLOCK, topk.BATCH
+    sizes = topk.POINT_BLOCK, topk.QUERY_BLOCK
     try:
-        for topk.POINT_BLOCK, topk.QUERY_BLOCK, topk.BATCH in [sizes, (70, 5, 8)]:
+        for topk.POINT_BLOCK, topk.QUERY_BLOCK in [sizes, (70, 5)]:
             got = topk.top_k(df, lambda i: i % 20 == 0).collect()
             both([(r.query_id, r.rank, r.vec_id, r.score) for r in got], want)
     finally:
-        topk.POINT_BLOCK, topk.QUERY_BLOCK, topk.BATCH = sizes
+        topk.POINT_BLOCK, topk.QUERY_BLOCK = sizes
     assert topk.top_k(df.filter("vec_id < 0"), lambda i: i % 20 == 0).count() == 0
 
 
+def test_scores_beyond_53_bits(spark):
+    """Odd products of which float64 keeps neighbours apart no more, among small vectors; and one too large to score."""
+    rnd = random.Random(17)
+    vectors = [(i, [float(rnd.randint(10**6, 4 * 10**6)) + rnd.randint(0, 1) / 64 for _ in range(64)]) for i in range(30)]
+    vectors += [(100 + i, [rnd.uniform(-3, 3) for _ in range(64)]) for i in range(40)] + [(500, [1e18] * 64)]
+    df = spark.createDataFrame([(i, v, 1.0, 2) for i, v in vectors], "vec_id bigint, embedding array<double>, norm double, row int")
+    got = topk.top_k(df, lambda i: i % 5 == 0).collect()
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in vectors[:-1]}
+    want = []
+    for i in whole:
+        if i % 5 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(whole[i], v)), j) for j, v in whole.items() if j != i)[:20]
+            want += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored, 1)]
+    both([(r.query_id, r.rank, r.vec_id, r.score) for r in got], want)
+    assert any(s > 1 << 53 and s % 2 for _, _, _, s in want)
+
+
 # --- repeated passages -------------------------------------------------------------------------------------
 
 
