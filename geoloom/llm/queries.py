@@ -30,7 +30,8 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+    rows = neardup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

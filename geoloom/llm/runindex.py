@@ -19,7 +19,8 @@ smaller id, or earlier in the same one. The work is laid out for corpora where m
 Positions are bytes. Decisions travel as (doc_id, start, windows) and are applied to each document once.
 
 Defined cases: null and empty texts keep nothing and lose nothing; texts shorter than ``length`` are kept;
-rows that repeat a doc_id are the same document, so places in them precede each other by position only;
+rows that repeat a doc_id and its text are the same document, so places in them precede each other by position
+only; rows that repeat a doc_id with another text are documents of their own, in the order of their texts' MD5;
 a null doc_id comes before all others; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -92,7 +93,10 @@ def _order_ids(ids: pa.Array) -> np.ndarray:
 
 
 def places(documents: DataFrame, length: int) -> DataFrame:
-    """Anchor rows; places that repeat an earlier one of the same piece are settled at once (around null)."""
+    """Anchor rows; places that repeat an earlier one of the same piece are settled at once (around null).
+
+    From here on ``doc_id`` is a document's place in the order of documents.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -120,7 +124,7 @@ def places(documents: DataFrame, length: int) -> DataFrame:
                 )
 
     schema = "anchor bigint, around bigint, doc_id bigint, start int, windows smallint"
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    return documents.select(F.col("place").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 _DECISION = "doc_id bigint, start int, windows smallint, decision tinyint, anchor bigint"
@@ -240,14 +244,28 @@ def surroundings(documents: DataFrame, decisions: DataFrame, length: int) -> Dat
         .groupBy(F.col("doc_id").alias("place"))
         .agg(F.collect_list(F.struct("start", "windows", "anchor", "decision")).alias("wanted"))
     )
-    joined = documents.select(_place().alias("place"), "text").join(wanted, "place")
+    joined = documents.select("place", "text").join(wanted, "place")
     schema = "anchor bigint, second bigint, doc_id bigint, start int, around binary"
     return joined.mapInArrow(run, schema)
 
 
-def _place():
-    """Ids in their order, a null id before all others."""
-    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)).cast("bigint"))
+def ordered(documents: DataFrame) -> DataFrame:
+    """doc_id, text and place: a number in the order of documents, the same for rows that are the same document."""
+    rows = documents.select("doc_id", "text")
+    number = F.col("doc_id").cast("bigint")
+    if documents.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        # Ids in their order, a null id before all others.
+        return rows.withColumn("place", F.coalesce(number, F.lit(-(2**63)).cast("bigint")))
+    spark = documents.sparkSession
+    rows = rows.withColumns({"number": number, "mark": F.md5(F.coalesce("text", F.lit("")))})
+    dealt = rows.select("number", "mark").distinct().repartitionByRange(common.partitions(spark), "number", "mark")
+    dealt = dealt.sortWithinPartitions("number", "mark").select(
+        F.monotonically_increasing_id().alias("at"), "number", "mark"
+    )
+    dealt = common.stored(dealt, "places")  # numbers rise with the range and within it
+    same = F.col("x.number").eqNullSafe(F.col("y.number")) & (F.col("x.mark") == F.col("y.mark"))
+    joined = rows.alias("x").join(dealt.alias("y"), same).select("x.doc_id", "x.text", F.col("y.at").alias("place"))
+    return common.stored(joined, "ordered")
 
 
 class RunLengthIndex:
@@ -454,7 +472,7 @@ def matched(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_windows(documents: DataFrame, length: int = 100) -> DataFrame:
-    """doc_id, start, windows: runs of windows that also start earlier."""
+    """doc_id (the place of ``ordered`` documents), start, windows: runs of windows that also start earlier."""
     spark = documents.sparkSession
     dealt = places(documents, length).repartition(common.partitions(spark), "anchor")
     decisions = decide(dealt.sortWithinPartitions("anchor", "around", "doc_id", "start"))
@@ -509,11 +527,12 @@ def deduplicate(documents: DataFrame, length: int = 100) -> DataFrame:
                 names=["doc_id", "n_bytes", "spans", "kept"],
             )
 
+    documents = ordered(documents)
     marks = (
         repeated_windows(documents, length)
         .groupBy(F.col("doc_id").alias("place"))
         .agg(F.collect_list(F.struct("start", "windows")).alias("marks"))
     )
-    joined = documents.select("doc_id", "text", _place().alias("place")).join(marks, "place", "left").drop("place")
+    joined = documents.join(marks, "place", "left").drop("place")
     kind = documents.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, spans array<struct<start:int,end:int>>, kept binary")

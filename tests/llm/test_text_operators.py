@@ -1,5 +1,6 @@
 """Text operators against brute force on a small fixture full of odd rows."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -133,6 +134,23 @@ def test_near_duplicates(documents, rows, size, percent):
     assert sum(r.doc_id is None for r in got) == 2
 
 
+def test_repeated_ids_with_other_texts_keep_their_links(spark):
+    rnd = random.Random(21)
+    x, y, z = ([f"w{rnd.randint(0, 10**6)}" for _ in range(200)] for _ in range(3))
+    near = lambda t: " ".join([*t[:100], "changed", *t[101:]])
+    rows = [(1, " ".join(x)), (1, " ".join(y)), (2, near(y)), (3, near(x)), (7, " ".join(z)), (7, near(x)), (7, near(x)), (9, near(z))]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85)
+    got = got.select("doc_id", "component_id", "kept", "class").collect()
+    both([tuple(r)[:3] for r in got], [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (7, 7, True), (7, 1, False), (7, 1, False), (9, 7, False)])
+    assert len({r["class"] for r in got}) == 3
+
+
+def test_tables_follow_the_threshold():
+    for percent in (80, 85, 90):
+        n = neardup.tables_for(percent)
+        assert 2 * (1 - (percent / 100) ** 2) ** n <= neardup.LOST < 2 * (1 - (percent / 100) ** 2) ** (n - 1)
+
+
 def test_chains_of_near_copies(spark):
     rnd = random.Random(2)
     base = [f"w{rnd.randint(0, 10**6)}" for _ in range(300)]
@@ -371,6 +389,23 @@ def test_repeated_passages(documents, rows, crowd, monkeypatch):
     assert any(w[1] for w in want.values())
 
 
+def test_repeats_under_repeated_and_null_ids(spark):
+    """Rows of one id with other texts are documents of their own, in the order of their texts' MD5."""
+    rnd = random.Random(23)
+    line = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared = line(300)
+    rows = [(1, shared + line(50)), (7, shared + line(80)), (7, line(400)), (None, line(150)), (None, shared), (7, line(400)), (9, line(99) + shared)]
+    rows += [rows[1], rows[4]]
+    order = sorted({r for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest()))
+    want = _repeats([(n, t) for n, (_, t) in enumerate(order)], 100)
+    got = runindex.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    both(
+        [(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in got],
+        [(r[0], *want[order.index(r)]) for r in rows],
+    )
+    assert [len(want[n][1]) for n, r in enumerate(order) if r[1] in (rows[2][1], rows[5][1])] == [0, 0]
+
+
 def test_repeats_in_shuffled_copies(spark):
     rnd = random.Random(6)
     lines = ["".join(rnd.choice("abcd ef") for _ in range(rnd.randint(40, 300))) for _ in range(30)]
