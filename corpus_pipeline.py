@@ -2,7 +2,7 @@
 
 1. toxicity: rejected documents go; labels of the labels table are learnt from where they are not held out.
 2. near_dedup: of every group of near copies the document with the smallest id stays (five-word shingles,
-   similarity 0.8 or more); of rows that repeat an id one stays.
+   similarity 0.8 or more); rows that repeat an id are told apart by their texts, of equal rows one stays.
 3. decontamination: documents that hold a benchmark passage go.
 4. secrets: found secrets are masked in the text; every document stays.
 5. tokens: the text is encoded, and the result has the ids in place of the text.
@@ -35,11 +35,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = neardup.near_duplicates(docs.select("doc_id", "text"))
-    copies = rows.filter(~F.col("kept")).select("doc_id").distinct()
-    without_id = docs.filter("doc_id is null")
-    kept = docs.filter("doc_id is not null").join(copies, "doc_id", "left_anti")
-    return kept.dropDuplicates(["doc_id"]).unionByName(without_id).select(*docs.columns)
+    rows = common.stored(neardup.near_duplicates(docs.select("doc_id", "text")), "near-rows")
+    rows = rows.filter("doc_id is not null and class is not null").select("class", "doc_id", "text_hash")
+    first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    copies = rows.join(first, "class").filter(F.struct("doc_id", "text_hash") != F.col("first"))
+    copies = copies.select(F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash")).distinct()
+    mark = F.xxhash64("text")
+    kept = docs.join(copies, (F.col("doc_id") == F.col("copy_id")) & (mark == F.col("copy_hash")), "left_anti")
+    if not neardup.repeated(docs):
+        return kept
+    without_id = kept.filter("doc_id is null")
+    mark = F.when(F.length("text") > 0, F.md5("text"))  # null and empty texts are no copies of one another
+    each = kept.filter("doc_id is not null").withColumns({"_mark": mark, "_row": F.when(mark.isNull(), F.monotonically_increasing_id())})
+    return each.dropDuplicates(["doc_id", "_mark", "_row"]).select(*docs.columns).unionByName(without_id)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
