@@ -45,6 +45,20 @@ def test_pipeline_equals_brute_force(spark):
     assert got == want
 
 
+def test_repeated_ids_lose_no_clean_text(spark):
+    words = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    near = lambda k: words(k) + " end"
+    rows = [(1, words("a")), (1, words("b")), (1, words("b")), (2, near("b")), (3, near("a")), (5, words("c")), (5, near("a")), (5, near("c"))]
+    rows += [(6, None), (6, None), (7, words("d")), (None, words("d"))]
+    got = corpus_pipeline.drop_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), SF).collect()
+    kept = sorted((str(r.doc_id), r.text or "") for r in got)
+    of_five = [r for r in kept if r[0] == "5"]
+    assert len(of_five) == 1 and of_five[0][1] in (words("c"), near("c"))
+    assert [r for r in kept if r[0] != "5"] == sorted(
+        [("1", words("a")), ("1", words("b")), ("6", ""), ("6", ""), ("7", words("d")), ("None", words("d"))]
+    )
+
+
 def test_stages_take_odd_rows(spark, tmp_path):
     """Null texts and ids, repeated rows, clashing columns and empty tables."""
     text = " ".join(f"word{i}" for i in range(40))
