@@ -7,7 +7,7 @@ span. A hit is then extended: the words themselves are compared around it.
 Everything is DataFrame expressions. Items shorter than a window are one window of their own length;
 only if the benchmark has such items do documents also produce grams of those (at most nine) lengths.
 
-Defined cases: a null text or id counts as a text without words or as an id like any other; rows that
+Defined cases: texts are used whole, however long; a null text or id counts as a text without words or as an id like any other; rows that
 repeat id and text are counted once and returned as often as they occur; an empty benchmark leaves all
 documents clean; other columns are ignored.
 """
@@ -22,7 +22,7 @@ from geoloom.llm import common
 WINDOW = 10
 GRAM = 5
 #: A benchmark of at most this many bytes of text is sent to every task; a larger one is shuffled.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 2 << 20
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -52,7 +52,11 @@ def winnowed(hashes: Column) -> Column:
 
 
 def windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
-    """Fingerprints of the benchmark (fp, item_id, item_words, at, length), and the lengths of short items."""
+    """Fingerprints of the benchmark (fp, item_id, item_words, at, length), and the lengths of short items.
+
+    ``item_words`` are the words of the item around the fingerprint that a window with it can have, so what a
+    fingerprint carries does not grow with its item.
+    """
     items = benchmark.select("item_id", words(F.col("text")).alias("item_words")).filter(F.size("item_words") > 0)
     short = items.filter(F.size("item_words") < WINDOW)
     lengths = sorted(r[0] for r in short.select(F.size("item_words")).distinct().collect())
@@ -73,7 +77,9 @@ def windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
             )
         ).alias("p"),
     )
-    found = prints.select("p.fp", "item_id", "item_words", "p.at", F.lit(WINDOW).alias("length"))
+    first = F.greatest(F.col("p.at") - (WINDOW - GRAM), F.lit(0))
+    around = F.slice("item_words", first + 1, F.col("p.at") + WINDOW - first)
+    found = prints.select("p.fp", "item_id", around.alias("item_words"), (F.col("p.at") - first).alias("at"), F.lit(WINDOW).alias("length"))
     for n in lengths:
         whole = short.filter(F.size("item_words") == n)
         found = found.unionByName(

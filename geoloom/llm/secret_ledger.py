@@ -8,8 +8,9 @@ versions carry it, appends the result, and joins the findings back to all paths.
 DataFrame expressions only. Positions come from splitting the text at the matches: a match begins after
 all pieces and matches before it. Lengths are in code points.
 
-Defined cases: a null text is the empty text; the empty text has no findings; repeated rows get the
-blob's findings each; an empty table gives an empty result; other columns ride along untouched, except that
+Defined cases: a null text is the empty text; the empty text has no findings; texts are scanned whole, however
+long; spans that begin together come in the order of the rules; repeated rows get the blob's findings each; an
+entry of a rule version that is not asked for stays in the ledger and out of the result; an empty table gives an empty result; other columns ride along untouched, except that
 columns named ``blob`` or ``found`` are replaced.
 """
 
@@ -52,6 +53,7 @@ BASE = (ASSIGN, ACCESS, HEX)
 RULES = (*BASE, PEM, FORGE)
 
 SALTS = 16
+BLOCK = 128
 FOUND = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -59,24 +61,36 @@ def matches(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of a rule in a text, by position."""
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    gaps = F.split(text, rule.pattern, -1)
-    parts = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), judged.alias("judged"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("found"))
-
-    def step(state, part):
-        begin = state["at"] + F.length(part["gap"])
-        end = begin + F.coalesce(F.length(part["whole"]), F.lit(0))
-        span = F.struct(
-            begin.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.name).alias("kind"), end.alias("end")
-        )
-        kept = F.length(part["judged"]) >= rule.least
-        return F.struct(
-            end.alias("at"),
-            F.when(kept, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"),
+    gaps = F.split(text, rule.pattern, -1)  # one more than matches
+    sizes = F.zip_with(gaps, whole, lambda g, w: F.struct(F.length(g).alias("gap"), F.coalesce(F.length(w), F.lit(0)).alias("size")))
+
+    # Positions are running sums, taken block by block, so no array grows by more than a block a step.
+    def running(blocks, total):
+        start = F.struct(F.lit(0).alias("at"), F.array(F.lit(0)).alias("sums"))
+        step = lambda s, x: F.struct((s["at"] + total(x)).alias("at"), F.concat(s["sums"], F.array(s["at"] + total(x))).alias("sums"))
+        return F.aggregate(blocks, start, step, lambda s: s["sums"])
+
+    add = lambda x: x["gap"] + x["size"]
+    last = F.greatest(F.ceil(F.size(sizes) / BLOCK), F.lit(1)).cast("int") - 1
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(sizes, b * BLOCK + 1, BLOCK))
+    ends = F.transform(blocks, lambda block: F.struct(block.alias("block"), running(block, add).alias("sums")))
+    offsets = running(ends, lambda e: F.element_at(e["sums"], -1))
+
+    def spans(e, offset):
+        return F.transform(
+            e["block"],
+            lambda x, i: F.struct(
+                (offset + F.get(e["sums"], i) + x["gap"]).alias("start"),
+                F.lit(rank).alias("rank"),
+                F.lit(rule.id).alias("kind"),
+                (offset + F.get(e["sums"], i) + add(x)).alias("end"),
+            ),
         )
 
-    located = F.aggregate(parts, start, step, lambda state: state["found"])
-    return F.when(text.rlike(rule.pattern), located).otherwise(F.array().cast(FOUND))
+    located = F.flatten(F.zip_with(ends, F.slice(offsets, 1, F.size(ends)), spans))
+    long = F.zip_with(located, judged, lambda span, j: F.struct(span.alias("span"), (F.length(j) >= rule.least).alias("kept")))
+    kept = F.transform(F.filter(long, lambda x: x["kept"]), lambda x: x["span"])
+    return F.when(text.rlike(rule.pattern), kept).otherwise(F.array()).cast(FOUND)
 
 
 def entries(spark: SparkSession, ledger: str) -> DataFrame | None:
@@ -113,7 +127,11 @@ def scan(versions: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule
     ]
     new = todo.select("blob", F.col("todo").alias("rules"), F.array_sort(F.concat(*spans)).alias("found"))
     new.write.mode("append").parquet(ledger)
-    wanted = F.filter("found", lambda f: f["kind"].isin([r.name for r in rules]))
+    # The ledger names rule versions; spans of other versions than those asked for stay behind.
+    wanted = F.transform(
+        F.filter("found", lambda f: f["kind"].isin([r.id for r in rules])),
+        lambda f: f.withField("kind", F.substring_index(f["kind"], "@", 1)),
+    )
     found = (
         entries(spark, ledger)
         .filter(F.arrays_overlap("rules", every))

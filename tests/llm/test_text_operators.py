@@ -90,6 +90,22 @@ def test_ledger_scans_only_what_is_new(spark, documents, tmp_path):
     assert again.count() == versions.count()
 
 
+def test_a_new_rule_version_replaces_the_old_ones_findings(spark, tmp_path):
+    table = spark.createDataFrame([(1, "AKIA" + "Z9" * 8 + " password=abcdefgh1")], "doc_id bigint, text string")
+    ledger = str(tmp_path / "ledger")
+    spans = lambda rules: [r[0] for r in secret_ledger.scan(table, ledger, rules=rules).select(secret_ledger.digest(F.col("found"))).collect()]
+    assert spans(secret_ledger.BASE) == ["access:0:20,assign:21:39"]
+    stricter = secret_ledger.ACCESS._replace(version=2, least=40)
+    assert spans((secret_ledger.ASSIGN, stricter, secret_ledger.HEX)) == ["assign:21:39"]
+    assert spans(secret_ledger.BASE) == ["access:0:20,assign:21:39"]
+
+
+def test_very_many_matches_in_one_text(spark, tmp_path):
+    text = "".join(f"é token={'x' * (i % 12)}{i} " for i in range(3000))
+    got = secret_ledger.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), str(tmp_path / "l")).first()
+    assert [f"{f.kind}:{f.start}:{f.end}" for f in got.found] == _secrets(text) and len(got.found) > 1500
+
+
 def test_masked(spark, documents, tmp_path, rows):
     versions = documents.select("doc_id", "text", F.col("text").alias("t"))
     got = secret_ledger.scan(versions, str(tmp_path / "l"), text="t")
@@ -493,6 +509,14 @@ def test_contamination(spark, documents, rows, limit, short, monkeypatch):
     assert decontam.contamination(documents, benchmark.filter("item_id < 0")).filter(F.size("spans") > 0).count() == 0
 
 
+def test_fingerprints_of_a_long_item_stay_small(spark):
+    rnd = random.Random(31)
+    item = " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(5000))
+    found, _ = decontam.windows(spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    sizes = [len(r.item_words) for r in found.collect()]
+    assert len(sizes) > 1000 and max(sizes) <= 2 * decontam.WINDOW - decontam.GRAM
+
+
 def test_empty_tables(spark, nothing):
     path = public_tokenizers.path("byte_bpe_50k.json")
     benchmark = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
