@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoloom import session
+from geoloom.functions import geometry as geo
 from geoloom.operators import joins
 
 
@@ -42,36 +46,47 @@ def conflate(
     right_geom: str = "geometry_wkt",
     max_name_share: float = 0.5,
 ) -> DataFrame:
-    """Best partner in ``right`` (osm_id, name, geometry) for each left feature: near and alike.
+    """One partner in ``right`` (osm_id, name, geometry) for each left feature that gets one: near and alike.
 
     Names are alike if at most ``max_name_distance`` letters and at most ``max_name_share`` of the
     longer name differ.  Features without a name have nothing to be alike in and find no partner.
 
-    Copies (same name and geometry) are matched once and share the result, so a place with very
-    many copies does not pair all of them.  The best pair is an aggregate, not a window.
+    A place is matched once: copies (same name and geometry) are one place and share its match.  The
+    matching is the one of taking pairs in the order of letters that differ, distance and ids, and
+    leaving out every pair with a place already taken.  It is found in rounds: a pair that is the first
+    one of both its places is taken in any case, so all such pairs are taken at once.
     """
+    spark = left.sparkSession
 
-    def groups(df: DataFrame, geom: str) -> DataFrame:
-        return df.filter(F.col("name") != "").groupBy("name", F.col(geom).alias("geom"))
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = session.new_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    pairs = joins.distance_join(
-        groups(left, left_geom).agg(F.count(F.lit(1)).alias("copies")).drop("copies"),
-        groups(right, right_geom).agg(F.min("osm_id").alias("match_id")),
-        distance,
-        "geom",
-        "geom",
-    )
+    def groups(df: DataFrame, geom: str, number: str) -> DataFrame:
+        named = df.filter(F.col("name") != "").groupBy("name", F.col(geom).alias("geom"))
+        return stored(named.agg(F.min("osm_id").alias("id")).withColumn(number, F.monotonically_increasing_id()), f"places-{number}")
+
+    lefts, rights = groups(left, left_geom, "l"), groups(right, right_geom, "r")
+    pairs = joins.distance_join(lefts, rights.withColumnRenamed("id", "match_id"), distance, "geom", "geom")
     alike = pairs.withColumn("name_distance", F.levenshtein("name", "name_right")).filter(
         (F.col("name_distance") <= max_name_distance)
         & (F.col("name_distance") <= max_name_share * F.greatest(F.length("name"), F.length("name_right")))
     )
-    best = alike.groupBy("name", "geom").agg(
-        F.min(F.struct("name_distance", "match_id")).alias("best")
-    )
+    apart = F.expr(geo.wkt_distance("geom", "geom_right")).alias("apart")
+    rank = F.struct("name_distance", apart, "id", "match_id", "l", "r").alias("rank")
+    open_ = stored(alike.select("l", "r", rank), "pairs")
+    taken = []
+    while not open_.isEmpty():
+        first = [open_.groupBy(side).agg(F.min("rank").alias("rank")) for side in ("l", "r")]
+        both = stored(first[0].join(first[1], "rank").select("l", "r", "rank.match_id", "rank.name_distance"), "taken")
+        taken.append(both)
+        open_ = stored(open_.join(both.select("l"), "l", "left_anti").join(both.select("r"), "r", "left_anti"), "pairs")
     features = left.select("osm_id", "name", F.col(left_geom).alias("geom"))
-    return features.join(best, ["name", "geom"]).select(
-        "osm_id", "best.match_id", "best.name_distance"
-    )
+    if not taken:
+        return features.limit(0).select("osm_id", F.lit(None).cast(right.schema["osm_id"].dataType).alias("match_id"), F.lit(0).alias("name_distance"))
+    best = lefts.select("l", "name", "geom").join(reduce(DataFrame.unionByName, taken), "l")
+    return features.join(best, ["name", "geom"]).select("osm_id", "match_id", "name_distance")
 
 
 def road_junctions(vertices: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from geoloom import schemas, session
 from geoloom.functions import geometry as geo
 from geoloom.functions import mvt, tilemath
-from geoloom.operators import catalog, incremental, joins, layers, tiles
+from geoloom.operators import catalog, incremental, joins, layers, skipping, tiles
 from geoloom.plans import fixtures as fx
 from geoloom.plans.layer_queries import CATEGORY, SCORE, STRICT_POI, WEIGHTS, WIDE, way_lengths
-from geoloom.plans.registry import query
+from geoloom.plans.registry import CHECKS, query
 from geoloom.sources import elements, parts, sinks
 
 # --- shared pieces of the checks ------------------------------------------------------------
@@ -304,6 +304,22 @@ def single_tile(spark, sf_dir):
     return df.select("z", "x", "y", "feature_count")
 
 
+def _indexed(spark, sf_dir):
+    """The layers written along the curve with their boxes, and read back."""
+    out = {}
+    for name, df in _sources(spark, sf_dir).items():
+        path = session.new_path(spark, f"indexed-{name}")
+        skipping.write_indexed(df, path, "geom" if name == "pois" else "geometry_wkt", row_group_bytes=1 << 16)
+        out[name] = spark.read.parquet(path)
+    return out
+
+
+@query("h15_pruned", CHECKS["h15_single_tile"])
+def pruned_tile(spark, sf_dir):
+    """One tile of layers laid out for it: the scan leaves out row groups that lie elsewhere."""
+    return tiles.single_tile(_indexed(spark, sf_dir), [POIS, ZONES], 3, 4, 2).select("z", "x", "y", "feature_count")
+
+
 # Every 40th way node moves, every 33rd way goes, every 21st becomes a primary road; points alike.
 _MOVED = (
     "moved as (select * replace (case when node_id % 40 = 3 then lat + 0.25 else lat end as lat) from fx_vertices where id % 33 <> 5), "
@@ -384,6 +400,12 @@ def tileset_bbox(spark, sf_dir):
     return tiles.tileset_summary(tiles.tile_features(_sources(spark, sf_dir), [POIS, ZONES], [6], box), box)
 
 
+@query("h16_pruned_bbox", CHECKS["h16_tileset_bbox"])
+def pruned_bbox(spark, sf_dir):
+    box = (-89.0, -43.0, 44.0, 55.0)
+    return tiles.tileset_summary(tiles.tile_features(_indexed(spark, sf_dir), [POIS, ZONES], [6], box), box)
+
+
 @query("h17_tile_feature_count", fx.sql(
     f"select z, x, y, format, feature_count from ({_COUNTS}) c, (values ('mvt'), ('geojson')) f(format)", "fx_pois", "fx_zones"))
 def tile_feature_count(spark, sf_dir):
