@@ -73,7 +73,8 @@ def conflate(
         (F.col("name_distance") <= max_name_distance)
         & (F.col("name_distance") <= max_name_share * F.greatest(F.length("name"), F.length("name_right")))
     )
-    apart = F.expr(geo.wkt_distance("geom", "geom_right")).alias("apart")
+    # Rounded, so that the last bits do not order places equally far away.
+    apart = F.round(F.expr(geo.wkt_distance("geom", "geom_right")), 12).alias("apart")
     rank = F.struct("name_distance", apart, "id", "match_id", "l", "r").alias("rank")
     open_ = stored(alike.select("l", "r", rank), "pairs")
     taken = []

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -118,3 +119,29 @@ def test_conflate_matches_copies_once(spark):
     b = spark.range(700).selectExpr("id + 1000 as osm_id", "'Kiosk' as name", "'POINT (1 1)' as geometry_wkt")
     got = changes.conflate(a, b, 0.1, 0)
     assert got.count() == 500 and {r["match_id"] for r in got.collect()} == {1000}
+
+
+def test_conflation_equals_greedy_matching(spark):
+    """Crowded places of few names, so that most want a partner somebody else wants too."""
+    rng = random.Random(19)
+    place = lambda i: (i, rng.choice(["Cafe Rio", "Cafe Rion", "Cafe Riox", "Bar"]), rng.randint(0, 30) / 1024, rng.randint(0, 30) / 1024)
+    lefts, rights = [place(i) for i in range(60)], [place(100 + i) for i in range(50)]
+    lefts.append((60, *lefts[0][1:]))  # a copy shares the match
+    frame = lambda rows: spark.createDataFrame([(i, n, f"POINT ({x} {y})") for i, n, x, y in rows], "osm_id int, name string, geometry_wkt string")
+    edits = lambda a, b: next(k for k in range(9) if k >= abs(len(a) - len(b)) and sum(p != q for p, q in zip(a, b)) + abs(len(a) - len(b)) <= k)
+    groups = lambda rows: {(n, x, y): min(i for i, *k in rows if tuple(k) == (n, x, y)) for _, n, x, y in rows}
+    pairs = []
+    for (n, x, y), i in groups(lefts).items():
+        for (m, u, v), j in groups(rights).items():
+            d, away = edits(n, m), round(math.hypot(x - u, y - v), 12)
+            if away <= 10 / 1024 and d <= 1:
+                pairs.append((d, away, i, j))
+    used, want = set(), {}
+    for d, _, i, j in sorted(pairs):
+        if not {("l", i), ("r", j)} & used:
+            used |= {("l", i), ("r", j)}
+            want[i] = (j, d)
+    got = {r.osm_id: (r.match_id, r.name_distance) for r in changes.conflate(frame(lefts), frame(rights), 10 / 1024, 1).collect()}
+    same = {i: groups(lefts)[tuple(k)] for i, *k in lefts}
+    assert got == {i: want[g] for i, g in same.items() if g in want}
+    assert len({j for j, _ in want.values()}) == len(want) > 15
