@@ -16,6 +16,7 @@ ZOOMS = [2, 11]
 def _elements(spark):
     nodes = [(i, 10.0 + (i // 10) * 0.4, 20.0 + (i % 10) * 0.4, {}, 1, None) for i in range(100)]
     nodes += [(200 + i, 10.0 + i * 0.5, -30.0, {"amenity": "school", "name": f"s{i}"}, 1, None) for i in range(6)]
+    nodes += [(300, -40.0, 150.0, {"amenity": "school", "name": "far"}, 1, None)]
     ways = [(500 + i, [10 * i, 10 * i + 1, 10 * i + 2], {"highway": "primary", "name": f"w{i}"}, None, 1, None) for i in range(10)]
     ring = [(600, [0, 5, 55]), (601, [55, 50, 0]), (602, [66, 69, 99]), (603, [99, 96, 66])]
     ways += [(i, n, {}, None, 1, None) for i, n in ring]
