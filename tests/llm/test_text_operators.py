@@ -7,10 +7,11 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, chat, decontam, graph, licenses, neardup, runindex, secret_ledger, tokencount, topk, toxicity
+from geoloom.llm import bpe, chat, decontam, graph, licenses, neardup, runindex, secret_ledger, tokencount, topk, toxicity, wordhash
 
 SCHEMA = "doc_id bigint, text string, score double, tokens string, found string, blob string, row int, key string, rep int"
 
@@ -276,6 +277,24 @@ def test_toxicity_on_held_out_rows(spark):
     assert {round(r.score, 6) for r in toxicity.score(docs_df, none).collect()} == {0.0}
 
 
+def test_features_are_runs_of_characters():
+    """Every text has the buckets of its runs of code points, whatever their bytes, and none across texts."""
+    texts = ["", "Straße der Straße", "毒性がある文章です", None, "abc", "😀😀 idiot 😀😀", "été", "naïve Ünïcode", "ABCDEF abcdef"]
+    base, mask = int(wordhash._BASE), (1 << 64) - 1
+
+    def bucket(gram):
+        data = bytes(wordhash.ASCII_LOWER[list(gram.encode())])
+        total = sum(int(wordhash.BYTE_VALUES[b]) * pow(base, k, 1 << 64) for k, b in enumerate(data)) & mask
+        mixed = wordhash.mix(np.array([total + len(gram) & mask], np.uint64))
+        return int(mixed[0] >> np.uint64(64 - toxicity.BUCKET_BITS))
+
+    want = {(i, bucket(t[k : k + n])) for i, t in enumerate(texts) if t for n in toxicity.GRAMS for k in range(len(t) - n + 1)}
+    with np.errstate(over="ignore"):
+        row, found = toxicity.features(*wordhash.flat(pa.array(texts, pa.string())))
+        assert sorted(zip(row.tolist(), found.tolist())) == sorted(want)
+        assert all(len(x) == 0 for x in toxicity.features(*wordhash.flat(pa.array([None, "", "abc"], pa.string()))))
+
+
 def test_every_telling_feature_weighs():
     counts = np.zeros((2, toxicity.BUCKETS))
     counts[1, :3000] = 50
