@@ -494,9 +494,108 @@ def buffer_point(g: str, d: str, segments: int = 32) -> str:
     return f"CASE WHEN {g}.kind = 'POINT' AND {d} > 0 THEN {polygon(ring)} END"
 
 
+def _rings_apart(g: str) -> str:
+    """Rings that are simple one by one also form polygons; see ``is_valid``."""
+    r, e, s, t, i, k, m, n, o, p = _lambda(10)
+    shells = f"transform({g}.parts, ({r}, {i}) -> CASE WHEN {is_shell(g, r, i)} THEN 1 ELSE 0 END)"
+    # A ring's polygon is the number of shells up to it.
+    numbered = lambda flags: (
+        f"transform({g}.parts, ({r}, {i}) -> named_struct('i', {i}, 'shell', {flags}[{i}] = 1, "
+        f"'poly', aggregate(slice({flags}, 1, {i} + 1), 0, ({m}, {n}) -> {m} + {n}), "
+        f"'pts', {r}, 'box', {bbox(line(r))}, 'es', filter({edges_of_ring(r)}, {e} -> {e}.a <> {e}.b)))"
+    )
+
+    def strips(rings: str) -> str:
+        """Crossings of different rings, and the vertices at which two rings meet."""
+        every = (
+            f"flatten(transform({rings}, {r} -> transform({r}.es, {e} -> named_struct("
+            f"'a', {e}.a, 'b', {e}.b, 'i', {r}.i, 'poly', {r}.poly))))"
+        )
+
+        def cut(es: str) -> str:
+            shape = (
+                f"named_struct('lo', array_min(transform({es}, {e} -> {e}.a.x)), "
+                f"'hi', array_max(transform({es}, {e} -> {e}.a.x)), "
+                f"'n', CAST(greatest(1, floor(sqrt(size({es})) / 2)) AS INT))"
+            )
+
+            def within_strips(b: str) -> str:
+                left = f"({b}.lo + ({b}.hi - {b}.lo) * {k} / {b}.n)"
+                right = f"({b}.lo + ({b}.hi - {b}.lo) * ({k} + 1) / {b}.n)"
+                inside = (
+                    f"filter({es}, {s} -> ({k} = 0 OR greatest({s}.a.x, {s}.b.x) >= {left}) "
+                    f"AND ({k} = {b}.n - 1 OR least({s}.a.x, {s}.b.x) <= {right}))"
+                )
+                # What a pair of edges shows: 2 they cross or share a part, 1 the first begins on the second.
+                along = lambda v, w: (
+                    f"(greatest(least({s}.a.{v}, {s}.b.{v}), least({t}.a.{v}, {t}.b.{v})) "
+                    f"{w} least(greatest({s}.a.{v}, {s}.b.{v}), greatest({t}.a.{v}, {t}.b.{v})))"
+                )
+                lined = f"({_turn(f'{s}.a', f'{s}.b', f'{t}.a')} = 0 AND {_turn(f'{s}.a', f'{s}.b', f'{t}.b')} = 0)"
+                shared = f"({lined} AND ({along('x', '<')} OR {along('y', '<')}))"
+                seen = (
+                    f"CASE WHEN {s}.i = {t}.i OR NOT ({along('x', '<=')} AND {along('y', '<=')}) THEN 0 "
+                    f"WHEN {_segments_cross(s, t)} OR {shared} THEN 2 "
+                    f"WHEN {_turn(f'{t}.a', f'{t}.b', f'{s}.a')} = 0 AND {_on_edge(f'{s}.a', f'array({t})')} THEN 1 ELSE 0 END"
+                )
+                found = lambda c: (
+                    f"flatten(transform({c}, {s} -> filter(transform({c}, {t} -> named_struct('what', {seen}, "
+                    f"'i', least({s}.i, {t}.i), 'j', greatest({s}.i, {t}.i), 'one', {s}.poly = {t}.poly, 'p', {s}.a)), "
+                    f"{m} -> {m}.what > 0)))"
+                )
+                return f"array_distinct(flatten(transform(sequence(0, {b}.n - 1), {k} -> {let(inside, found)})))"
+
+            return let(shape, within_strips)
+
+        return let(every, cut)
+
+    def placed(rings: str, meets: str) -> str:
+        in_box = f"({p}.x >= {o}.box.x0 AND {p}.x <= {o}.box.x1 AND {p}.y >= {o}.box.y0 AND {p}.y <= {o}.box.y1)"
+        in_ring = f"({in_box} AND {_odd_crossings(p, f'{o}.es')})"
+        # Rings of a polygon meet once at most, so one vertex off the other ring tells its side.
+        pair = f"{m}.i = least({r}.i, {o}.i) AND {m}.j = greatest({r}.i, {o}.i)"
+        off = f"filter({r}.pts, {p} -> NOT exists({meets}, {m} -> {pair} AND {m}.p = {p}))"
+        sided = (
+            f"forall(slice({off}, 1, 1), {p} -> {in_ring} = {o}.shell)"
+        )
+        holes = (
+            f"forall(filter({rings}, {r} -> NOT {r}.shell), {r} -> "
+            f"forall(filter({rings}, {o} -> {o}.poly = {r}.poly AND {o}.i <> {r}.i), {o} -> {sided}))"
+        )
+        # Polygons may meet often: every vertex, and the middle of every edge whose ends both meet something.
+        met = lambda v: f"exists({meets}, {m} -> ({m}.i = {r}.i OR {m}.j = {r}.i) AND {m}.p = {v})"
+        middle = f"named_struct('x', ({e}.a.x + {e}.b.x) / 2, 'y', ({e}.a.y + {e}.b.y) / 2)"
+        probes = (
+            f"concat(filter({r}.pts, {p} -> NOT {met(p)}), "
+            f"transform(filter({r}.es, {e} -> {met(f'{e}.a')} AND {met(f'{e}.b')}), {e} -> {middle}))"
+        )
+        taken = (
+            f"exists({rings}, {o} -> {o}.shell AND {o}.poly <> {r}.poly AND {in_ring} AND NOT "
+            f"exists(filter({rings}, {n} -> NOT {n}.shell AND {n}.poly = {o}.poly), {o} -> {in_ring}))"
+        )
+        apart = (
+            f"({g}.kind <> 'MULTIPOLYGON' OR forall(filter({rings}, {r} -> {r}.shell), {r} -> "
+            f"forall({probes}, {p} -> NOT {taken})))"
+        )
+        return f"({holes} AND {apart})"
+
+    def judged(rings: str, meets: str) -> str:
+        twice = f"transform(filter({meets}, {m} -> {m}.one), {m} -> named_struct('i', {m}.i, 'j', {m}.j))"
+        once_each = let(twice, lambda x: f"size(array_distinct({x})) = size({x})")
+        return (
+            f"CASE WHEN exists({meets}, {m} -> {m}.what = 2) OR NOT {once_each} THEN false "
+            f"ELSE {placed(rings, meets)} END"
+        )
+
+    return let(shells, lambda f: let(numbered(f), lambda rings: let(strips(rings), lambda meets: judged(rings, meets))))
+
+
 def is_valid(g: str) -> str:
     """Usable shape: a line has two distinct points, rings have area and do not cross themselves.
 
+    Rings of one polygon meet in single points only, two of them at most once; holes lie in their
+    shell and beside each other; the polygons of a MULTIPOLYGON share no area and no part of an edge.
+
     Edges are compared within vertical strips, about half the square root of their number, so
     a ring of n vertices costs about n to the power 1.5 instead of n squared.
     """
@@ -542,7 +641,8 @@ def is_valid(g: str) -> str:
     return _flag(
         f"CASE WHEN {g}.kind IN ('POINT', 'MULTIPOINT') THEN true "
         f"WHEN {g}.kind IN {LINEAR} THEN forall({g}.parts, {r} -> exists({r}, {p} -> {p} <> {r}[0])) "
-        f"ELSE forall({g}.parts, {r} -> {ring_ok}) END"
+        f"WHEN NOT forall({g}.parts, {r} -> {ring_ok}) THEN false "
+        f"WHEN size({g}.parts) = 1 THEN true ELSE {_rings_apart(g)} END"
     )
 
 

@@ -170,8 +170,12 @@ def member_join(relations: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _stitch(lines: list) -> list:
-    """Chain lines that share end points into closed rings; what does not close is left out."""
-    rings, by_end, used = [], {}, [False] * len(lines)
+    """Rings and loose lines of lines that share end points: (places of its lines, ring or None).
+
+    A chain that comes back to one of its own ends closes a ring there, so rings that touch in a
+    point come out apart; a line that leads nowhere is taken back, so a spur opens no ring.
+    """
+    out, by_end, used = [], {}, [False] * len(lines)
     for i, pts in enumerate(lines):
         by_end.setdefault(pts[0], []).append(i)
         by_end.setdefault(pts[-1], []).append(i)
@@ -179,38 +183,59 @@ def _stitch(lines: list) -> list:
         if used[start]:
             continue
         used[start] = True
-        ring = list(lines[start])
-        while ring[0] != ring[-1]:
-            candidates = by_end[ring[-1]]
+        chain, ends = [(start, lines[start])], [lines[start][0]]  # ends[k] is where line k begins
+        at = {ends[0]: 0}
+        while chain:
+            end = chain[-1][1][-1]
+            if end in at:
+                k = at[end]
+                ring = [end] + [p for _, pts in chain[k:] for p in pts[1:]]
+                out.append(([i for i, _ in chain[k:]], ring if len(ring) >= 4 else None))
+                for e in ends[k:]:
+                    del at[e]
+                del chain[k:], ends[k:]
+                continue
+            candidates = by_end[end]
             while candidates and used[candidates[-1]]:
                 candidates.pop()
-            if not candidates:
-                break
-            nxt = candidates.pop()
-            used[nxt] = True
-            pts = lines[nxt]
-            ring.extend(pts[1:] if pts[0] == ring[-1] else pts[-2::-1])
-        if len(ring) >= 4 and ring[0] == ring[-1]:
-            rings.append(ring)
-    return rings
-
-
-@F.pandas_udf(T.ArrayType(T.ArrayType(schemas.POINT)))
+            if candidates:
+                i = candidates.pop()
+                used[i] = True
+                at[end] = len(chain)
+                ends.append(end)
+                chain.append((i, lines[i] if lines[i][0] == end else lines[i][::-1]))
+            else:
+                out.append(([chain.pop()[0]], None))
+                del at[ends.pop()]
+    return out
+
+
+_STITCHED = T.ArrayType(T.StructType([
+    T.StructField("seqs", T.ArrayType(T.IntegerType())),
+    T.StructField("ring", T.ArrayType(schemas.POINT)),
+]))
+
+
+@F.pandas_udf(_STITCHED)
 def stitch_rings(lines: pd.Series) -> pd.Series:
+    """Per chain the places of its members and its closed ring, NULL for a member in no ring."""
+
     def one(members):
-        chains = [[(p["x"], p["y"]) for p in m["points"]] for m in members]
-        return [[{"x": x, "y": y} for x, y in ring] for ring in _stitch(chains)]
+        found = _stitch([[(p["x"], p["y"]) for p in m["points"]] for m in members])
+        return [
+            {"seqs": [int(members[i]["seq"]) for i in at], "ring": ring and [{"x": x, "y": y} for x, y in ring]}
+            for at, ring in found
+        ]
 
     return pd.Series([one(m) for m in lines], dtype=object)
 
 
-def admin_boundaries(relations: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Administrative relations as polygons, one row per closed outer ring.
+def _boundary_rings(admin: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """relation_id, shape and the stitched ``outer`` and ``inner`` members of administrative relations.
 
     A group is one members list (copies of a relation collapse into it), so it is as bounded as
-    that list.  Inner rings stay with the outer ring that holds them.
+    that list.
     """
-    admin = relations.filter(tag("boundary") == "administrative")
     wanted = admin.select(F.explode("members").alias("m")).filter("m.type IN ('way', 'w')")
     used = ways.join(wanted.select(F.col("m.ref").alias("id")), "id", "left_semi")
     members = member_join(admin, way_points(used, nodes))
@@ -223,19 +248,32 @@ def admin_boundaries(relations: DataFrame, ways: DataFrame, nodes: DataFrame) ->
             for s in ("outer", "inner")
         ]
     )
-    rings = chains.select(
-        "relation_id",
-        "shape",
-        stitch_rings("outer").alias("shells"),
-        stitch_rings("inner").alias("holes"),
+    return chains.select(
+        "relation_id", "shape", stitch_rings("outer").alias("outer"), stitch_rings("inner").alias("inner")
     )
-    shells = rings.select(
-        "relation_id", "shape", F.posexplode("shells").alias("ring_no", "shell"), "holes"
+
+
+def _closed(side: str) -> str:
+    return f"transform(filter({side}, c -> c.ring IS NOT NULL), c -> c.ring)"
+
+
+def _holds(shell: str, hole: str) -> str:
+    return geo.let(geo.polygon(shell), lambda s: geo.let(geo.polygon(hole), lambda h: geo.within(h, s)))
+
+
+def admin_boundaries(relations: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Administrative relations as polygons, one row per closed outer ring.
+
+    Inner rings stay with the outer ring that holds them; see ``rejected_boundaries`` for the rest.
+    """
+    admin = relations.filter(tag("boundary") == "administrative")
+    shells = _boundary_rings(admin, ways, nodes).select(
+        "relation_id", "shape", F.posexplode(F.expr(_closed("outer"))).alias("ring_no", "shell"),
+        F.expr(_closed("inner")).alias("holes"),
     )
-    shell = geo.let(geo.polygon("shell"), lambda s: geo.let(geo.polygon("h"), lambda h: geo.within(h, s)))
     geom = (
         "named_struct('kind', 'POLYGON', 'parts', "
-        f"concat(array(shell), filter(holes, h -> {shell})))"
+        f"concat(array(shell), filter(holes, h -> {_holds('shell', 'h')})))"
     )
     polygons = shells.select("relation_id", "shape", "ring_no", F.expr(geom).alias("geom"))
     names = admin.select(
@@ -249,6 +287,38 @@ def admin_boundaries(relations: DataFrame, ways: DataFrame, nodes: DataFrame) ->
     return joined.withColumnRenamed("relation_id", "osm_id")
 
 
+def rejected_boundaries(relations: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Way members of administrative relations that reach no polygon: osm_id, seq, way_id, role, reason.
+
+    ``missing way``: no line with two points is known; ``unclosed``: its chain closes no ring;
+    ``hole without shell``: its inner ring lies in no outer ring of the relation.  Copies of a
+    relation give one row.
+    """
+    admin = relations.filter(tag("boundary") == "administrative")
+    rings = _boundary_rings(admin, ways, nodes)
+    shells = _closed("outer")
+    judged = [
+        "transform(outer, c -> named_struct('seqs', c.seqs, 'reason', CASE WHEN c.ring IS NULL THEN 'unclosed' END))",
+        f"transform(inner, c -> named_struct('seqs', c.seqs, 'reason', CASE WHEN c.ring IS NULL THEN 'unclosed' "
+        f"WHEN NOT exists({shells}, s -> {_holds('s', 'c.ring')}) THEN 'hole without shell' END))",
+    ]
+    fate = rings.select(
+        "relation_id", "shape", F.explode(F.expr(f"concat({', '.join(judged)})")).alias("c")
+    ).select("relation_id", "shape", F.explode("c.seqs").alias("seq"), F.col("c.reason").alias("reason"))
+    members = admin.select(
+        F.col("id").alias("relation_id"), F.xxhash64("members").alias("shape"), F.posexplode("members").alias("seq", "m")
+    ).filter("m.type IN ('way', 'w')")
+    members = members.select(
+        "relation_id", "shape", "seq", F.col("m.ref").alias("way_id"), F.col("m.role").alias("role")
+    ).distinct()
+    known = fate.withColumn("known", F.lit(True))
+    joined = members.join(known, ["relation_id", "shape", "seq"], "left")
+    return joined.select(
+        F.col("relation_id").alias("osm_id"), "seq", "way_id", "role",
+        F.when(F.col("known").isNull(), "missing way").otherwise(F.col("reason")).alias("reason"),
+    ).filter("reason IS NOT NULL")
+
+
 def ingest_layers(data: elements.Elements) -> dict[str, DataFrame]:
     """All strict layers over the same element frames; writers leave out the empty ones."""
     return {

@@ -315,6 +315,29 @@ def admin_boundaries_rings(spark, sf_dir):
     )
 
 
+def _flawed_areas(spark, sf_dir):
+    """Ringed areas of which every third hole lies beside its shell and every seventh refers to an unknown way."""
+    rel, ways, nodes = _ringed_areas(spark, sf_dir)
+    stray = "id >= 4000000000 AND id < 8000000000 AND floor((id - 4000000000) / 4) % 3 = 0"
+    nodes = nodes.withColumn("lon", F.expr(f"lon + case when {stray} then 3D else 0D end"))
+    unknown = "case when id % 7 = 0 then array(named_struct('type', 'way', 'ref', -id - 1, 'role', 'outer')) else filter(members, m -> false) end"
+    return rel.withColumn("members", F.expr(f"concat(members, {unknown})")), ways, nodes
+
+
+@query("d8_rejected", fx.sql(
+    "with admin as (select *, case when id % 5 = 0 then 3 else 4 end as edges from fx_areas where boundary = 'administrative'), "
+    "lost as (select id, unnest([0, 1, 2]) as seq, id * 4 + unnest([0, 2, 1]) as way_id, 'outer' as role, 'unclosed' as reason "
+    "from admin where id % 5 = 0 union all "
+    "select id, edges, 1000000000 + id, 'inner', 'hole without shell' from admin "
+    "where id % 2 = 0 and (id % 3 = 0 or id % 5 = 0) union all "
+    "select id, edges + case when id % 2 = 0 then 1 else 0 end + case when id % 4 < 2 then 1 else 0 end, -id - 1, "
+    "'outer', 'missing way' from admin where id % 7 = 0) "
+    "select id as osm_id, cast(seq as int) as seq, cast(way_id as bigint) as way_id, role, reason from lost", "fx_areas"))
+def rejected_boundaries(spark, sf_dir):
+    """Members that reach no polygon: open chains, holes beside their shell and unknown ways."""
+    return layers.rejected_boundaries(*_flawed_areas(spark, sf_dir))
+
+
 def _every_element(spark, sf_dir):
     """Points of interest, way nodes and corners; roads, buildings and edges; all relations."""
     rel, edges, corners = fx.areas(spark, sf_dir)

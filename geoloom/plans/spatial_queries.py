@@ -182,6 +182,30 @@ def is_valid(spark, sf_dir):
     return df.select("id", F.expr(geo.wkt_is_valid("geometry")).alias("is_valid"))
 
 
+_EIGHTH = "(x0 * (8 - ({k})) / 8 + x1 * ({k}) / 8)"
+_HOLE = [_EIGHTH.format(k=f"id % 9 + {i}") for i in (-2, 2)]
+_SECOND = [_EIGHTH.format(k=f"id % 9 + {i}") for i in (4, 12)]
+
+
+@query("f10_is_valid_rings", fx.sql(
+    f"select id, {_HOLE[0]} > x0 and {_HOLE[1]} < x1 as hole, {_SECOND[0]} > x1 as second from fx_zones", "fx_zones"))
+def is_valid_rings(spark, sf_dir):
+    """Zones with a hole that is moved along until it lies outside, and with a second polygon moved away."""
+    corner = lambda x, y: f"cast({x} as string), ' ', cast({y} as string)"
+    ring = lambda x0, x1, y0, y1: "concat('(', " + ", ', ', ".join(
+        corner(x, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+    ) + ", ')')"
+    shell, low, high = ring("x0", "x1", "y0", "y1"), "(y0 * 3 + y1) / 4", "(y0 + y1 * 3) / 4"
+    df = fx.frame(spark, sf_dir, "fx_zones").selectExpr(
+        "id",
+        f"concat('POLYGON (', {shell}, ', ', {ring(*_HOLE, low, high)}, ')') as holed",
+        f"concat('MULTIPOLYGON ((', {shell}, '), (', {ring(*_SECOND, low, high)}, '))') as double",
+    )
+    return df.select(
+        "id", F.expr(geo.wkt_is_valid("holed")).alias("hole"), F.expr(geo.wkt_is_valid("double")).alias("second")
+    )
+
+
 @query("f11_simplify_tolerance", fx.sql(
     "select id, zoom, round(case when zoom > 1 then 0.001::double / pow(2, zoom - 1) else 0.001::double end * 1e6, 6) as tolerance_scaled "
     "from (select id, cast(id % 19 as int) as zoom from fx_pois) z", "fx_pois"))

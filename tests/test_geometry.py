@@ -145,6 +145,38 @@ def test_is_valid(spark, wkt, ok):
     assert value(spark, geo.wkt_is_valid("w"), w=wkt) is ok
 
 
+BIG = "(0 0, 10 0, 10 10, 0 10, 0 0)"
+
+
+@pytest.mark.parametrize(
+    "wkt, ok",
+    [
+        (f"POLYGON ({BIG}, (2 2, 2 4, 4 4, 4 2, 2 2), (6 6, 6 8, 8 8, 8 6, 6 6))", True),
+        (f"POLYGON ({BIG}, (12 2, 12 4, 14 4, 14 2, 12 2))", False),  # outside
+        (f"POLYGON ({BIG}, (8 2, 8 4, 12 4, 12 2, 8 2))", False),  # crosses
+        (f"POLYGON ({BIG}, (-1 -1, -1 11, 11 11, 11 -1, -1 -1))", False),  # around the shell
+        (f"POLYGON ({BIG}, {BIG})", False),
+        (f"POLYGON ({BIG}, (0 4, 2 6, 2 2, 0 4))", True),  # touches once
+        (f"POLYGON ({BIG}, (10 10, 7 9, 9 7, 10 10))", True),  # touches once, in a corner
+        (f"POLYGON ({BIG}, (0 4, 5 6, 10 4, 5 2, 0 4))", False),  # cuts the inside in two
+        (f"POLYGON ({BIG}, (0 2, 0 4, 2 4, 2 2, 0 2))", False),  # shares a part of an edge
+        (f"POLYGON ({BIG}, (2 2, 2 8, 8 8, 8 2, 2 2), (4 4, 4 5, 5 5, 5 4, 4 4))", False),  # nested
+        (f"POLYGON ({BIG}, (2 2, 2 4, 4 4, 4 2, 2 2), (4 4, 4 6, 6 6, 6 4, 4 4))", True),  # holes touch once
+        (f"POLYGON ({BIG}, (2 2, 2 4, 4 4, 4 2, 2 2), (3 3, 3 6, 6 6, 6 3, 3 3))", False),
+        (f"MULTIPOLYGON (({BIG}), ((20 0, 30 0, 30 10, 20 10, 20 0)))", True),
+        (f"MULTIPOLYGON (({BIG}), ((5 5, 15 5, 15 15, 5 15, 5 5)))", False),
+        (f"MULTIPOLYGON (({BIG}), ((2 2, 4 2, 4 4, 2 4, 2 2)))", False),
+        (f"MULTIPOLYGON (({BIG}, (2 2, 2 8, 8 8, 8 2, 2 2)), ((4 4, 5 4, 5 5, 4 5, 4 4)))", True),  # island
+        (f"MULTIPOLYGON (({BIG}, (2 2, 2 8, 8 8, 8 2, 2 2)), ((2 5, 5 2, 8 5, 5 8, 2 5)))", True),  # island, touches
+        (f"MULTIPOLYGON (({BIG}), ((10 10, 20 10, 20 20, 10 20, 10 10)))", True),  # corner to corner
+        (f"MULTIPOLYGON (({BIG}), ((10 0, 20 0, 20 10, 10 10, 10 0)))", False),  # a common edge
+        (f"MULTIPOLYGON (({BIG}), ((0 5, 5 0, 10 5, 5 10, 0 5)))", False),  # inscribed
+    ],
+)
+def test_is_valid_across_rings(spark, wkt, ok):
+    assert value(spark, geo.wkt_is_valid("w"), w=wkt) is ok
+
+
 def test_large_rings_are_checked_in_strips(spark):
     """A circle of 4,000 vertices is valid; swapping two far vertices makes it cross itself."""
     circle = [(math.cos(2 * math.pi * i / 4000), math.sin(2 * math.pi * i / 4000)) for i in range(4000)]

@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -97,6 +98,37 @@ def test_admin_boundary_with_hole_and_two_shells(spark):
     assert sorted((r["parts"], r["a"]) for r in out) == [(1, 25.0), (2, 96.0)]
 
 
+def test_rings_that_touch_come_apart_and_spurs_open_none():
+    walks = [
+        [(0, 0), (1, 1)], [(1, 1), (1, -1)], [(1, -1), (0, 0)],  # one ring at (0, 0)
+        [(0, 0), (-1, 1)], [(-1, -1), (-1, 1)], [(-1, -1), (0, 0)],  # another
+        [(1, 1), (5, 5)], [(5, 5), (6, 6)],  # a spur
+        [(9, 9), (8, 8)], [(8, 8), (9, 9)],  # there and back
+        [(20, 20), (21, 20), (21, 21), (20, 20)],  # closed by itself
+    ]
+    rng = random.Random(4)
+    for _ in range(200):
+        order = rng.sample(range(len(walks)), len(walks))
+        lines = [walks[i] if rng.random() < 0.5 else walks[i][::-1] for i in order]
+        found = layers._stitch(lines)
+        assert sorted(i for at, _ in found for i in at) == list(range(len(walks)))
+        rings = sorted(sorted(order[i] for i in at) for at, ring in found if ring)
+        assert rings == [[0, 1, 2], [3, 4, 5], [10]]
+        assert all(ring[0] == ring[-1] and len(ring) == 4 for _, ring in found if ring)
+    assert layers._stitch([]) == []
+
+
+def test_rejected_boundary_members(spark):
+    ring = lambda base, x, y, s: [(base, y, x, {}), (base + 1, y, x + s, {}), (base + 2, y + s, x + s, {}), (base + 3, y + s, x, {})]
+    n = nodes(spark, ring(10, 0.0, 0.0, 10.0) + ring(20, 2.0, 2.0, 2.0) + ring(30, 50.0, 0.0, 5.0))
+    w = ways(spark, [(1, [10, 11, 12], {}), (2, [10, 13, 12], {}), (3, [20, 21, 22, 23, 20], {}), (4, [30, 31, 32, 33, 30], {}), (6, [10, 30], {})])
+    members = [("way", 1, "outer"), ("way", 6, "outer"), ("way", 2, ""), ("way", 3, "inner"), ("way", 4, "inner"), ("way", 77, "outer"), ("node", 10, "label")]
+    tags = {"boundary": "administrative"}
+    rel = spark.createDataFrame([(9, members, tags, 1, None), (9, members, tags, 1, None), (8, None, tags, 1, None)], schemas.RELATION)
+    got = [tuple(r) for r in layers.rejected_boundaries(rel, w, n).collect()]
+    assert sorted(got) == [(9, 1, 6, "outer", "unclosed"), (9, 4, 4, "inner", "hole without shell"), (9, 5, 77, "outer", "missing way")]
+
+
 def test_validation(spark, sample_nodes, sample_ways, sample_relations):
     assert validate.is_valid_dataset(sample_nodes, sample_ways, sample_relations)
     bad = nodes(spark, [(1, 91.0, 0.0, {}), (2, 1.0, None, {}), (3, 1.0, 1.0, {})])
