@@ -42,7 +42,7 @@ LEAST_DOCUMENTS = 5
 SMOOTHING = 1.0
 RIDGE = 1e-4
 STEPS = 500
-PIECE_BYTES = 1 << 18
+PIECE_BYTES = 1 << 16
 
 
 class Model(NamedTuple):
