@@ -1,7 +1,7 @@
 """Toxicity score: a character n-gram linear classifier on naive Bayes log-count ratios.
 
-Features are the hashed n-grams of UTF-8 bytes (not of characters) that a text has, each scaled by the log
-ratio of how often documents of either class have it; a logistic regression is fitted on the scaled features.
+Features are the hashed n-grams of characters (code points, A-Z lower-cased) that a text has, each scaled by
+the log ratio of how often documents of either class have it; a logistic regression is fitted on the scaled features.
 Features whose ratio is within ``SIGMAS`` standard errors of zero are left out, so words that both classes
 use weigh nothing however long the text; all others are used.
 
@@ -43,6 +43,8 @@ SMOOTHING = 1.0
 RIDGE = 1e-4
 STEPS = 500
 PIECE_BYTES = 1 << 16
+#: Size of the row groups of the rows to fit on.
+GROUP_BYTES = 1 << 20
 
 
 class Model(NamedTuple):
@@ -52,36 +54,26 @@ class Model(NamedTuple):
     intercept: float
 
 
-def buckets(data: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
-    """For each n-gram size: bucket of the gram that begins at each byte, and -1 where none does."""
+def grams(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each n-gram size: row and bucket of every run of that many characters (code points) of a text."""
     sums = wordhash.prefix_sums(wordhash.ASCII_LOWER[data])
+    starts = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where each character begins
+    row_of = np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(starts[:-1], bounds)))
     for n in GRAMS:
-        if len(data) < n:
-            yield np.full(len(data), -1, np.int64)
-            continue
-        at = np.arange(len(data) - n + 1)
-        hashed = wordhash.mix(wordhash.between(sums, at, at + n) + np.uint64(n)) >> np.uint64(64 - BUCKET_BITS)
-        out = np.full(len(data), -1, np.int64)
-        out[: len(at)] = hashed.astype(np.int64)
-        ends = bounds[1:][bounds[1:] > 0]
-        for k in range(1, n):  # grams that would run into the next text
-            over = ends - k
-            out[over[over >= 0]] = -1
-        yield out
+        inside = np.flatnonzero(row_of[: max(len(starts) - n, 0)] == row_of[n - 1 :])  # none runs into the next text
+        hashed = wordhash.mix(wordhash.between(sums, starts[inside], starts[inside + n]) + np.uint64(n))
+        yield row_of[inside], (hashed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def features(data: np.ndarray, bounds: np.ndarray, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Row and bucket of every distinct feature of every text, of the used ones if given."""
-    row_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    rows, found = [], []
-    for bucket in buckets(data, bounds):
-        keep = bucket >= 0
+    pairs = []
+    for row, bucket in grams(data, bounds):
         if used is not None:
-            keep &= used[bucket]
-        at = np.flatnonzero(keep)
-        rows.append(row_of[at])
-        found.append(bucket[at])
-    pairs = np.unique(np.concatenate(rows) << BUCKET_BITS | np.concatenate(found))
+            keep = np.flatnonzero(used[bucket])
+            row, bucket = row[keep], bucket[keep]
+        pairs.append(row << BUCKET_BITS | bucket)
+    pairs = np.unique(np.concatenate(pairs))
     return pairs >> BUCKET_BITS, pairs & (BUCKETS - 1)
 
 
@@ -151,12 +143,15 @@ def _fit(labelled: DataFrame, ratios: np.ndarray) -> tuple[np.ndarray, float]:
     parts = "type tinyint, size int, indices array<int>, values array<double>"
     rows = labelled.select("text", "label").mapInArrow(run, f"label double, {parts}")
     # A vector is stored as the struct of these fields, so it is read back as a vector.
+    # Small row groups bound what a task holds of the nested columns, when it writes and when it reads them.
     path = session.new_path(spark, "gram-rows")
-    rows.select("label", F.struct("type", "size", "indices", "values").alias("features")).write.parquet(path)
+    rows = rows.select("label", F.struct("type", "size", "indices", "values").alias("features"))
+    rows.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     schema = StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])
     fitted = LogisticRegression(
         family="binomial", regParam=RIDGE, elasticNetParam=0.0, maxIter=STEPS, standardization=False
     ).fit(spark.read.schema(schema).parquet(path))
+    session.discard(spark, path)
     return fitted.coefficients.toArray(), fitted.intercept
 
 
