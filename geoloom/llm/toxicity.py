@@ -45,6 +45,8 @@ STEPS = 500
 PIECE_BYTES = 1 << 16
 #: Size of the row groups of the rows to fit on.
 GROUP_BYTES = 1 << 20
+#: Tasks of a step of the fit, whose rows are bounded: the gradients of so few go to the driver without a shuffle.
+FIT_TASKS = 5
 
 
 class Model(NamedTuple):
@@ -150,7 +152,7 @@ def _fit(labelled: DataFrame, ratios: np.ndarray) -> tuple[np.ndarray, float]:
     schema = StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])
     fitted = LogisticRegression(
         family="binomial", regParam=RIDGE, elasticNetParam=0.0, maxIter=STEPS, standardization=False
-    ).fit(spark.read.schema(schema).parquet(path))
+    ).fit(spark.read.schema(schema).parquet(path).coalesce(FIT_TASKS))
     session.discard(spark, path)
     return fitted.coefficients.toArray(), fitted.intercept
 
