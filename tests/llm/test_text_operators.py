@@ -356,6 +356,38 @@ def test_wrapped_license_headers(spark, documents):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_licenses_learn_from_every_line(spark):
+    """Counts, fit and threshold are of all distinct lines, far more than were once drawn."""
+    rng = random.Random(7)
+    legal = sorted({w for ts in licenses.TEMPLATES.values() for t in ts for w in re.findall(r"[^\W_]+", t.lower())})
+    lines = [" ".join(rng.choices(legal, k=rng.randint(0, 4)) + [f"w{rng.randint(0, 999)}" for _ in range(4)]) for _ in range(9000)]
+    # Pieces of a notice: too scattered to be like a template, yet likely to the classifier.
+    pieces = ["permission is", "hereby granted", "free of", "charge to", "any person", "obtaining a", "copy of"]
+    pieces += ["mit", "released under", "spdx license", "identifier", "software"]
+    scattered = [" ".join(f"{x} x{i}" for x in rng.sample(pieces, 8 + i % 5)) for i in range(40)]
+    drawn = spark.createDataFrame([(x,) for x in scattered], "line string").filter(F.xxhash64("line", F.lit(5)) % 2 != 0)
+    lines += [r.line for r in drawn.collect()]
+    texts = ["\n".join([*lines[i : i + 50], "", " - ", lines[i], lines[0]]) for i in range(0, len(lines), 50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = licenses.corpus_lines(df, licenses._templates(spark)).cache()
+    assert found.count() == len(set(lines)) > 9000
+    hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in legal], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    often = {r.t: r["count"] for r in found.select(F.explode("t").alias("t")).groupBy("t").count().collect()}
+    assert often == {hashes[w]: n for w in legal if (n := sum(w in set(x.split()) for x in set(lines)))}
+
+    model = licenses.train(df)
+    weights, scores = dict(model.weights), []
+    for row in found.filter("unknown and not fit").select("f").collect():
+        own = [weights[b] for b in row.f if b in weights]
+        margins = np.array(model.intercepts) + np.sum(own, axis=0)
+        powers = np.exp(margins - margins.max())
+        if own:
+            scores.append(powers[1:].max() / powers.sum())
+    assert len(scores) > 2000
+    want = np.quantile(scores, 1 - licenses.FALSE_SHARE)
+    assert 0.5 < want < 0.999 and model.threshold == pytest.approx(want)
+
+
 # --- top k -------------------------------------------------------------------------------------------------
 
 
