@@ -330,3 +330,30 @@ def test_multi_part_measures_and_predicates(spark):
         assert value(spark, geo.wkt_intersects("v", "w"), w=wkt, v=DONUTS) is meets, wkt
         assert value(spark, geo.wkt_within("w", "v"), w=wkt, v=DONUTS) is inside, wkt
     assert value(spark, geo.wkt_distance("w", "v"), w="MULTIPOINT ((15 1), (40 1))", v=DONUTS) == pytest.approx(5)
+
+
+@pytest.mark.parametrize("predicate", ["intersects", "within", "contains", "distance"])
+def test_edges_at_hand_and_far_edges(spark, predicate):
+    """Shapes without an edge near the other are decided by a vertex; boxes that reach everything hide no edge."""
+    ring = lambda x, y, n: f"({x} {y}, {x + n} {y}, {x + n} {y + n}, {x} {y + n}, {x} {y})"
+    texts = [f"POLYGON ({ring(0, 0, 20)}, {ring(5, 5, 6)})", DONUTS, "POINT (2 2)", "POINT (7 7)", "POINT (20 3)", "POINT (40 40)"]
+    texts += ["POLYGON ((0 0, 20 0, 10 20, 0 0))", f"POLYGON ({ring(1, 1, 2)})", f"POLYGON ({ring(6, 6, 2)})", f"POLYGON ({ring(-9, -9, 60)})"]
+    texts += ["LINESTRING (2 2, 3 3)", "LINESTRING (6 6, 8 7)", "LINESTRING (0 0, 20 0)", "MULTIPOINT ((2 2), (7 7))", "MULTIPOINT ((2 2), (3 3))"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", F.expr(geo.parse_wkt("t")).alias("g"))
+    df = df.withColumns({"e": F.expr(f"CASE WHEN g.kind <> 'POINT' THEN {geo.edges('g')} END"), "b": F.expr(geo.bbox("g"))})
+    wide = "named_struct('x0', -999D, 'y0', -999D, 'x1', 999D, 'y1', 999D)"
+    test = getattr(geo, predicate)
+    # ``within`` rules out by boxes, so only those of the container may be wider there.
+    boxes = {"within": ("a.b", wide), "contains": (wide, "b.b")}.get(predicate, (wide, wide))
+    rows = df.alias("a").crossJoin(df.alias("b")).selectExpr(
+        "a.i", "b.i as j", f"{test('a.g', 'b.g')} as found", f"{test('a.g', 'b.g', 'a.b', 'b.b', 'a.e', 'b.e')} as given",
+        f"{test('a.g', 'b.g', *boxes)} as whole",
+    ).collect()
+    for r in rows:
+        want = pytest.approx(r.whole, abs=1e-12) if predicate == "distance" else r.whole
+        assert r.found == want and r.given == want, (texts[r.i], texts[r.j])
+    at = {(r.i, r.j): r.found for r in rows}
+    if predicate == "intersects":  # a point in a hole, on a shell, a box in a hole
+        assert [at[k] for k in ((2, 0), (3, 0), (4, 0), (7, 0), (8, 0), (0, 9), (11, 0))] == [True, False, True, True, False, True, False]
+    if predicate == "within":
+        assert [at[k] for k in ((2, 0), (3, 0), (4, 0), (7, 0), (8, 0), (0, 9), (12, 0))] == [True, False, False, True, False, True, False]

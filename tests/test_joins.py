@@ -145,3 +145,21 @@ def test_conflation_equals_greedy_matching(spark):
     same = {i: groups(lefts)[tuple(k)] for i, *k in lefts}
     assert got == {i: want[g] for i, g in same.items() if g in want}
     assert len({j for j, _ in want.values()}) == len(want) > 15
+
+
+@pytest.mark.parametrize("kind", ["intersects", "within", "contains", "distance"])
+def test_filed_sides_are_not_broadcast(spark, kind):
+    """Rows filed under cells look few to the optimizer; only a right side measured as small is broadcast."""
+    left = spark.range(300).selectExpr("id as l_id", "concat('POINT (', id % 17, ' ', id % 13, ')') as geometry_wkt")
+    box = "concat('POLYGON ((', x, ' 0, ', x + 5, ' 0, ', x + 5, ' 9, ', x, ' 9, ', x, ' 0))')"
+    right = spark.range(40).selectExpr("id as r_id", "id % 11 as x").selectExpr("r_id", f"{box} as geometry_wkt")
+    if kind == "contains":
+        left, right = right, left
+    joined = lambda **more: (
+        joins.distance_join(left, right, 0.5, **more) if kind == "distance" else joins.spatial_join(left, right, join_type=kind, **more)
+    )
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(joined()) and "SortMergeJoin" in plan(joined())
+    assert "BroadcastHashJoin" in plan(joined(broadcast_right=True))
+    want = sorted(joined(broadcast_right=True).select("l_id", "r_id").collect())
+    assert want and sorted(joined().select("l_id", "r_id").collect()) == want
