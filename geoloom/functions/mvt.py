@@ -1,14 +1,18 @@
-"""Vector-tile bytes: chunks of a tile layer are encoded apart and put together once per tile.
+"""Tile payloads: features are encoded one by one, and sorted ones are put together while they stream by.
 
-Spark groups and quantises the features; this helper only writes the bytes.
+Spark quantises, groups and sorts the features; this helper only writes and reads the bytes.  No task holds the
+features of a tile as objects: the bytes written so far and the distinct values of one layer are what it keeps.
 """
 
 from __future__ import annotations
 
 import json
 import struct
+from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,91 +95,170 @@ def _value(v) -> bytes:
     return _field(1, str(v).encode())
 
 
-CHUNK = T.StructType(
+TILES = T.StructType(
     [
-        T.StructField("keys", T.ArrayType(T.StringType())),
-        T.StructField("values", T.ArrayType(T.BinaryType())),
-        T.StructField("ids", T.ArrayType(T.LongType())),
-        T.StructField("tags", T.ArrayType(T.ArrayType(T.IntegerType()))),
-        T.StructField("bodies", T.ArrayType(T.BinaryType())),
+        T.StructField("z", T.IntegerType()),
+        T.StructField("x", T.IntegerType()),
+        T.StructField("y", T.IntegerType()),
+        T.StructField("data", T.BinaryType()),
+        T.StructField("feature_count", T.LongType()),
     ]
 )
-TILE = T.StructType([T.StructField("data", T.BinaryType()), T.StructField("features", T.LongType())])
+# Rows that go out together: as many features, or tiles of so many bytes.
+BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
 
 
-def _chunk(ids, kinds, parts, shells, properties) -> dict:
-    """Features without their framing; tags are pairs of places in the chunk's keys and values."""
-    keys, values, known = {}, {}, {}
-    out = {"ids": [], "tags": [], "bodies": []}
-    for feature_id, kind, rings, outer, text in zip(ids, kinds, parts, shells, properties):
-        commands = _commands(kind, rings, outer)
-        if not commands:
-            continue
-        tags = known.get(text)
-        if tags is None:
-            tags = known[text] = []
+@F.arrow_udf(T.BinaryType())
+def encode_features(kinds: pa.Array, rings: pa.Array, shells: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
+    """Type and geometry fields of features; rings end at places in xs.  NULL for shapes that collapse."""
+    points = list(zip(xs.flatten().to_pylist(), ys.flatten().to_pylist()))
+    starts = (xs.offsets.to_numpy() - xs.offsets.to_numpy()[0]).tolist() if len(xs) else []
+    out = []
+    for kind, start, ends, outer in zip(kinds.to_pylist(), starts, rings.to_pylist(), shells.to_pylist()):
+        parts = [points[start + a : start + b] for a, b in zip([0, *ends[:-1]], ends)]
+        commands = _commands(kind, parts, outer)
+        out.append(_varint(3 << 3) + _varint(GEOM_TYPES[kind]) + _packed(4, commands) if commands else None)
+    return pa.array(out, pa.binary())
+
+
+class _VectorLayer:
+    """A layer message that grows by features."""
+
+    def __init__(self, name: str):
+        self.keys, self.values, self.known, self.features = {}, {}, {}, 0
+        self.data = bytearray(_varint(15 << 3) + _varint(2) + _field(1, name.encode()))
+
+    def _tags(self, text: str) -> bytes:
+        found = self.known.get(text)
+        if found is None:
+            tags = []
             for key, value in json.loads(text).items():
                 if value is not None:
-                    tags.append(keys.setdefault(key, len(keys)))
-                    tags.append(values.setdefault(_value(value), len(values)))
-        out["ids"].append(feature_id)
-        out["tags"].append(tags)
-        out["bodies"].append(_varint(3 << 3) + _varint(GEOM_TYPES[kind]) + _packed(4, commands))
-    return {"keys": list(keys), "values": list(values), **out}
-
-
-def _layer(name: str, chunks, extent: int = 4096) -> tuple[bytes, int]:
-    """One layer message, framed as a complete tile message, and its number of features."""
-    keys, values, features = {}, {}, []
-    for chunk in chunks:
-        key = [keys.setdefault(k, len(keys)) for k in chunk["keys"]]
-        value = [values.setdefault(v, len(values)) for v in chunk["values"]]
-        for feature_id, tags, body in zip(chunk["ids"], chunk["tags"], chunk["bodies"]):
-            named = [(value if i % 2 else key)[t] for i, t in enumerate(tags)]
-            features.append((feature_id is None, feature_id or 0, body, named))
-    features.sort(key=lambda f: f[:3])
-    out = [_varint(15 << 3) + _varint(2) + _field(1, name.encode())]
-    for unnamed, feature_id, body, tags in features:
-        message = b"" if unnamed or feature_id < 0 else _varint(1 << 3) + _varint(feature_id)
-        message += _packed(2, tags) if tags else b""
-        out.append(_field(2, message + body))
-    out += [_field(3, k.encode()) for k in keys] + [_field(4, v) for v in values]
-    out.append(_varint(5 << 3) + _varint(extent))
-    return _field(3, b"".join(out)), len(features)
-
-
-@F.arrow_udf(CHUNK)
-def encode_chunks(features: pa.Array) -> pa.Array:
-    """Chunks from arrays of (feature_id, kind, rings, shells, xs, ys, properties); rings end at places in xs."""
-    flat = features.flatten()
-    field = {f.name: flat.field(f.name) for f in flat.type}
-    ids, kinds, texts, shells = (field[c].to_pylist() for c in ("feature_id", "kind", "properties", "shells"))
-    xs, ys = (field[c].flatten().to_pylist() for c in ("xs", "ys"))
-    points = list(zip(xs, ys))
-    first = field["xs"].offsets.to_numpy() - field["xs"].offsets.to_numpy()[0]
-    ends = field["rings"].to_pylist()
-    parts = [
-        [points[start + a : start + b] for a, b in zip([0, *rings[:-1]], rings)] for start, rings in zip(first.tolist(), ends)
-    ]
-    bounds = (features.offsets.to_numpy() - features.offsets.to_numpy()[0]).tolist() if len(features) else [0]
-    chunks = [
-        _chunk(ids[a:b], kinds[a:b], parts[a:b], shells[a:b], texts[a:b]) for a, b in zip(bounds[:-1], bounds[1:])
-    ]
-    return pa.array(chunks, _arrow(CHUNK))
+                    tags.append(self.keys.setdefault(key, len(self.keys)))
+                    tags.append(self.values.setdefault(_value(value), len(self.values)))
+            if len(self.known) >= BATCH_ROWS:
+                self.known.clear()
+            found = self.known[text] = _packed(2, tags) if tags else b""
+        return found
+
+    def add(self, feature_id: int | None, text: str, body: bytes) -> None:
+        message = b"" if feature_id is None or feature_id < 0 else _varint(1 << 3) + _varint(feature_id)
+        self.data += _field(2, message + self._tags(text) + body)
+        self.features += 1
+
+    def ended(self, extent: int = 4096) -> bytearray:
+        """The layer framed as a complete tile message."""
+        for key in self.keys:
+            self.data += _field(3, key.encode())
+        for value in self.values:
+            self.data += _field(4, value)
+        self.data += _varint(5 << 3) + _varint(extent)
+        self.data[:0] = _varint(3 << 3 | 2) + _varint(len(self.data))
+        return self.data
+
+
+class _TextLayer:
+    """A FeatureCollection that grows by features; those without a text are counted only."""
+
+    def __init__(self, name: str):
+        self.name, self.features, self.data = name, 0, bytearray(b'{"type":"FeatureCollection","features":[')
+        self.between = b""
+
+    def add(self, feature_id: int | None, text: str, body: str | None) -> None:
+        if body is not None:
+            self.data += self.between + body.encode()
+            self.between = b","
+        self.features += 1
+
+    def ended(self) -> bytearray:
+        self.data += b"]}"
+        return self.data
+
+
+def _vector_tile(done: list[tuple[str, bytearray]]) -> bytearray:
+    whole = done.pop(0)[1]
+    while done:
+        whole += done.pop(0)[1]
+    return whole
+
+
+def _text_tile(done: list[tuple[str, bytearray]]) -> bytearray:
+    if len(done) == 1:
+        return done.pop()[1]
+    whole = bytearray()
+    while done:
+        name, data = done.pop(0)
+        whole += (b"," if whole else b"{") + b'"' + name.encode() + b'":'
+        whole += data
+    whole += b"}"
+    return whole
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of TILES; the bytes of a tile that is alone are not copied."""
+    z, x, y, data, counts = map(list, zip(*rows))
+    if len(rows) == 1:
+        at = pa.array([0, len(data[0])], pa.int32()).buffers()[1]
+        payload = pa.BinaryArray.from_buffers(pa.binary(), 1, [None, at, pa.py_buffer(data[0])])
+    else:
+        payload = pa.array(map(bytes, data), pa.binary())
+    i = pa.int32()
+    return pa.RecordBatch.from_arrays([pa.array(z, i), pa.array(x, i), pa.array(y, i), payload, pa.array(counts, pa.int64())], [f.name for f in TILES])
+
+
+def _put_together(batches: Iterator[pa.RecordBatch], make, join, collapsed: bool) -> Iterator[pa.RecordBatch]:
+    """Tiles of rows (``ROW``) that come sorted by tile and layer; rows without a body count only if ``collapsed``."""
+    tile, name, layer, done, ready, held = None, None, None, [], [], 0
+
+    def finished():
+        nonlocal ready, held
+        done.append((name, layer.ended()))
+        ready.append((*tile, data := join(done), count))
+        held += len(data)
+        if held >= BATCH_BYTES or len(ready) >= BATCH_ROWS:
+            out, ready, held = ready, [], 0
+            yield _batch(out)
+
+    count = 0
+    for batch in batches:
+        columns = (batch.column(i).to_pylist() for i in range(7))
+        for z, x, y, of, feature_id, text, body in zip(*columns):
+            if body is None and not collapsed:
+                continue
+            if tile != (z, x, y):
+                if tile is not None:
+                    yield from finished()
+                tile, name, layer, count = (z, x, y), of, make(of), 0
+            elif name != of:
+                done.append((name, layer.ended()))
+                name, layer = of, make(of)
+            layer.add(feature_id, text, body)
+            count += 1
+    if tile is not None:
+        yield from finished()
+    if ready:
+        yield _batch(ready)
 
 
-@F.arrow_udf(TILE)
-def write_tiles(layers: pa.Array) -> pa.Array:
-    """Tiles from arrays of (layer, chunk): the bytes and the number of features in them."""
-    out = []
-    for chunks in layers:
-        by_layer: dict[str, list] = {}
-        for piece in chunks.as_py():
-            by_layer.setdefault(piece["layer"], []).append(piece["chunk"])
-        written = [_layer(name, by_layer[name]) for name in sorted(by_layer)]
-        filled = [(data, n) for data, n in written if n]
-        out.append({"data": b"".join(data for data, _ in filled), "features": sum(n for _, n in filled)})
-    return pa.array(out, _arrow(TILE))
+def _vector_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _put_together(batches, _VectorLayer, _vector_tile, False)
+
+
+def _text_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _put_together(batches, _TextLayer, _text_tile, True)
+
+
+ROW = ["z", "x", "y", "layer", "feature_id", "properties", "body"]
+
+
+def write_tiles(features: DataFrame, vector: bool) -> DataFrame:
+    """``z, x, y, data, feature_count`` of features (``ROW``), sorted by id within a layer.
+
+    A tile is written by one task, from rows that Spark sorts on disk if need be.
+    """
+    order = ["z", "x", "y", "layer", F.col("feature_id").isNull(), F.coalesce("feature_id", F.lit(0)), "body", "properties"]
+    rows = features.select(*ROW).repartition("z", "x", "y").sortWithinPartitions(*order)
+    return rows.mapInArrow(_vector_tiles if vector else _text_tiles, TILES)
 
 
 def _arrow(schema: T.StructType) -> pa.DataType:
@@ -240,19 +323,58 @@ def _vertices(packed: bytes) -> tuple[list[int], list[int]]:
     return xs, ys
 
 
+def _features(data) -> Iterator[tuple]:
+    """(layer, id, type, xs, ys) of the features of a tile, one after another."""
+    for _, layer in _message(memoryview(data).cast("B")):
+        name = next(str(v, "utf-8") for k, v in _message(layer) if k == 1)
+        for key, body in _message(layer):
+            if key == 2:
+                feature = dict(_message(bytes(body)))
+                yield (name, feature.get(1), feature[3], *_vertices(feature[4]))
+
+
+_NAMES = ("layer", "id", "type", "xs", "ys")
+
+
 def read_tile(data: bytes) -> list[dict]:
-    out = []
-    for _, layer in _message(data):
-        fields = list(_message(layer))
-        name = next(v for k, v in fields if k == 1).decode()
-        for body in (v for k, v in fields if k == 2):
-            feature = dict(_message(body))
-            xs, ys = _vertices(feature[4])
-            out.append({"layer": name, "id": feature.get(1), "type": feature[3], "xs": xs, "ys": ys})
-    return out
+    return [dict(zip(_NAMES, f)) for f in _features(data)]
+
+
+@F.arrow_udf(T.LongType())
+def count_features(data: pa.Array) -> pa.Array:
+    """Number of features that can be read from tiles."""
+    return pa.array([sum(1 for _ in _features(d.as_buffer())) if d.is_valid else None for d in data], pa.int64())
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = _arrow(FEATURES)
+    schema = pa.schema(list(schema))
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    rows = []
+    for tiles in batches:
+        z, x, y = (tiles.column(i).to_pylist() for i in range(3))
+        for i, data in enumerate(tiles.column(3)):
+            for address, feature in zip(repeat((z[i], x[i], y[i])), _features(data.as_buffer())):
+                rows.append(address + feature)
+                if len(rows) >= BATCH_ROWS:
+                    yield batch(rows)
+                    rows = []
+    if rows:
+        yield batch(rows)
+
+
+FEATURES = T.StructType([*TILES.fields[:3], *FEATURE.elementType.fields])
+
+
+def read_features(tiles: DataFrame) -> DataFrame:
+    """Features of tiles as rows (``z, x, y, layer, id, type, xs, ys``), read while they stream by."""
+    return tiles.select("z", "x", "y", "data").filter("data IS NOT NULL").mapInArrow(_read, FEATURES)
 
 
 @F.arrow_udf(FEATURE)
 def read_tiles(data: pa.Array) -> pa.Array:
-    """Features (layer, id, type, xs, ys) of tiles."""
+    """Features (layer, id, type, xs, ys) of tiles, as arrays; crowded tiles are better read by ``read_features``."""
     return pa.array([read_tile(d.as_py()) for d in data], _arrow(FEATURE))

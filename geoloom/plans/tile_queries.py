@@ -279,8 +279,7 @@ def _decoded(zooms: str) -> str:
 
 
 def _read_back(df):
-    feature = df.select("z", "x", "y", F.explode(mvt.read_tiles("data")).alias("f"))
-    return feature.select("z", "x", "y", "f.layer", "f.id", F.array_min("f.xs").alias("tx"), F.array_min("f.ys").alias("ty"))
+    return mvt.read_features(df).select("z", "x", "y", "layer", "id", F.array_min("xs").alias("tx"), F.array_min("ys").alias("ty"))
 
 
 @query("h14_tile_mvt", fx.sql(_decoded("(2), (5)"), "fx_pois", "fx_zones"))
