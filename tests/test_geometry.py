@@ -357,3 +357,26 @@ def test_edges_at_hand_and_far_edges(spark, predicate):
         assert [at[k] for k in ((2, 0), (3, 0), (4, 0), (7, 0), (8, 0), (0, 9), (11, 0))] == [True, False, True, True, False, True, False]
     if predicate == "within":
         assert [at[k] for k in ((2, 0), (3, 0), (4, 0), (7, 0), (8, 0), (0, 9), (12, 0))] == [True, False, False, True, False, True, False]
+
+
+def test_plain_texts_read_like_others(spark):
+    """Texts split by single characters give what the same texts give with tabs for blanks, NULL included."""
+    shapes = ["POINT (1 2)", "POINT(1 2)", "POINT (1 2 3)", "POINT (1 2 3 4)", "POINT (1 2 3 4 5)", "POINT (1)", "POINT ()", "POINT (1 2, 3 4)", "POINT (-0 +5)"]
+    shapes += ["POINT (1e2 -.5E-1)", "POINT (1e999 2)", "POINT (e 2)", "POINT (1-2 2)", "POINT ( 1 2 )", "POINT (1 2 )", "POINT (1,2 3)", "POINT (5. 007)"]
+    shapes += ["LINESTRING (0 0, 1 1)", "LINESTRING (0 0,1 1)", "LINESTRING (0 0 , 1 1)", "LINESTRING (0  0, 1 1)", "LINESTRING (0 0,  1 1)"]
+    shapes += ["LINESTRING (0 0, 1 1,)", "LINESTRING (, 0 0, 1 1)", "LINESTRING (0 0)", "LINESTRING ((0 0, 1 1))", "LINESTRING (0 0, 1 1) "]
+    shapes += ["POLYGON ((0 0, 4 0, 4 4, 0 0))", "POLYGON (( 0 0,4 0, 4 4,0 0 ))", "POLYGON ((0 0, 4 0, 4 4, 0 1))", "POLYGON ((0 0, 4 0, 0 0))", "POLYGON (0 0, 4 0, 4 4, 0 0)"]
+    shapes += ["POLYGON ((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 1))", "POLYGON((0 0, 9 0, 9 9, 0 0),(1 1, 2 1, 2 2, 1 1))", "POLYGON ((0 0, 4 0, 4 4, 0 0)", "point (1 2)", "POINT Z (1 2 3)"]
+    rows = [(i, t, t.replace(" ", "\t").replace("(\t", "( ").replace("\t)", " )")) for i, t in enumerate(shapes)]
+    df = spark.createDataFrame(rows, "i int, t string, u string")
+    got = df.select("t", F.expr(geo.parse_wkt("t")).alias("g"), F.expr(geo.parse_wkt("u")).alias("h")).collect()
+    read = {r["t"]: r["g"] for r in got}
+    for r in got:
+        assert str(r["g"]) == str(r["h"]), r["t"]  # as text, so that -0.0 is not 0.0
+    unreadable = {t for t, g in read.items() if g is None}
+    assert unreadable == {
+        "POINT (1 2 3 4 5)", "POINT (1)", "POINT ()", "POINT (1 2, 3 4)", "POINT (1e999 2)", "POINT (e 2)", "POINT (1-2 2)", "POINT (1,2 3)",
+        "LINESTRING (0 0, 1 1,)", "LINESTRING (, 0 0, 1 1)", "LINESTRING (0 0)", "LINESTRING ((0 0, 1 1))", "POLYGON ((0 0, 4 0, 4 4, 0 1))",
+        "POLYGON ((0 0, 4 0, 0 0))", "POLYGON (0 0, 4 0, 4 4, 0 0)", "POLYGON ((0 0, 4 0, 4 4, 0 0)",
+    }
+    assert [(p.x, p.y) for p in read["LINESTRING (0  0, 1 1)"].parts[0]] == [(0, 0), (1, 1)]
